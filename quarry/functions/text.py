@@ -22,7 +22,7 @@ WORD_OR_PUNCT = r"[\p{L}\p{N}_]+(?:'[\p{L}\p{N}_]+)?|[^\p{L}\p{N}_\s]"
 def alpha_tokens_sql(text: str) -> str:
     """DuckDB twin of ``alpha_tokens``."""
     return (f"list_filter(string_split_regex(lower({text}), '{WHITESPACE}'), "
-            f"x -> regexp_matches(x, '{LETTERS_ONLY}'))")
+            f"lambda x: regexp_matches(x, '{LETTERS_ONLY}'))")
 
 
 def word_tokens_sql(text: str) -> str:

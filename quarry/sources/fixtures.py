@@ -92,6 +92,21 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def parsed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P14+P15: ``raw_prices`` parsed back to numbers; a ``-`` volume becomes null."""
+    from quarry.functions import clean
+    r = raw_prices(spark, sf_dir)
+    return r.select("date", clean.parse_number(F.col("price")).alias("close"),
+                    *[clean.parse_number(F.col(c)).alias(c) for c in ("open", "high", "low")],
+                    clean.parse_suffixed(F.col("vol"), "M", 1000.0, "-").alias("volume"))
+
+
+def part_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A names-like word list: distinct lower-case words of part names."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.explode(tx.split_ws(F.lower("p_name"))).alias("word")).distinct()
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, token): lower-cased, whitespace-split, alphabetic tokens."""
     d = table(spark, sf_dir, "documents")
@@ -101,6 +116,22 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEY_SQL = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)"
 
 SQL: dict[str, str] = {
+    "raw_prices": """raw_prices AS (
+  SELECT date, format('{:,.2f}', close) AS price, format('{:,.2f}', open) AS open,
+         format('{:,.2f}', high) AS high, format('{:,.2f}', low) AS low,
+         CASE WHEN dayofyear(date) % 7 = 0 THEN '-' ELSE printf('%.3f', volume / 1000) || 'M' END AS vol
+  FROM prices)""",
+    "parsed_prices": """parsed_prices AS (
+  SELECT date, TRY_CAST(replace(price, ',', '') AS DOUBLE) AS close,
+         TRY_CAST(replace(open, ',', '') AS DOUBLE) AS open,
+         TRY_CAST(replace(high, ',', '') AS DOUBLE) AS high,
+         TRY_CAST(replace(low, ',', '') AS DOUBLE) AS low,
+         CASE WHEN vol = '-' THEN NULL
+              ELSE TRY_CAST(replace(replace(vol, ',', ''), 'M', '') AS DOUBLE) * 1000.0 END AS volume
+  FROM raw_prices)""",
+    "part_words": f"""part_words AS (
+  SELECT DISTINCT unnest(list_filter(string_split_regex(lower(p_name), '{tx.WHITESPACE}'), lambda x: x <> '')) AS word
+  FROM part)""",
     "clicks": f"""clicks AS (
   SELECT {_ROW_ID_SQL} AS row_id, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
          l_extendedprice, l_quantity, CAST(l_returnflag = 'R' AS INTEGER) AS label,
