@@ -80,14 +80,10 @@ def parse_number(c: Column) -> Column:
 def impute_mean(df: DataFrame, cols: Sequence[str], fit_df: DataFrame | None = None) -> DataFrame:
     """Replace nulls by the column mean of ``fit_df`` (default: ``df``) — fit, then transform.
 
-    The fit is one global aggregate (a single row of means), cross-joined as a scalar.
+    Each mean is a lazy scalar subquery (one global aggregate), so no join is planned.
     """
     fit_df = fit_df if fit_df is not None else df
-    means = fit_df.agg(*[F.avg(c).alias(f"__mean_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(means))  # one row by construction
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__mean_{c}")))
-    return out.drop(*[f"__mean_{c}" for c in cols])
+    return df.withColumns({c: F.coalesce(F.col(c), fit_df.select(F.avg(c)).scalar()) for c in cols})
 
 
 def cast_all(df: DataFrame, cols: Sequence[str], dtype: str = "float") -> DataFrame:

@@ -1,4 +1,4 @@
 """Query catalog: importing this package registers every query."""
 
-from quarry.plans import q_relational, q_series  # noqa: F401
+from quarry.plans import q_prep, q_relational, q_series  # noqa: F401
 from quarry.plans.catalog import ORACLE, QUERIES  # noqa: F401
