@@ -18,26 +18,44 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def global_row_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx",
-                     partitions: int | None = None) -> DataFrame:
-    """0-based position of every row in a total order, without a one-task window.
-
-    Rows are range-partitioned by the order key and checkpointed to the shared
-    checkpoint folder (so partition ids are stable and survive executor loss);
-    per-partition counts (one row per partition) give each partition's offset; a
-    window *within* each range partition numbers the rows.
+def running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[str, Column],
+                 group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """Inclusive running totals of ``sums`` along ``order`` (within ``group``), with no
+    window that holds a whole group in one task.
+
+    Rows are range-partitioned on (group, order) — so even a group holding a third of
+    the rows is split over many tasks — and checkpointed to the shared checkpoint
+    folder, so partition ids stay stable between the two passes and survive executor
+    loss.  Pass 1 totals each (partition, group) piece (a few rows per partition);
+    their prefix sums are each piece's offset; pass 2 is a window inside each piece.
+    ``order`` must be a total order within a group.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    g = list(group)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *cols).withColumn("__pid", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
-    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offs = sizes.withColumn("__off", F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n"))
-    w = Window.partitionBy("__pid").orderBy(*cols)
-    return (ranged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")  # one row per partition
-            .withColumn(out, F.row_number().over(w) - 1 + F.col("__off"))
-            .drop("__pid", "__off"))
+    base = df.withColumns({f"__v_{k}": v for k, v in sums.items()})
+    ranged = (base.repartitionByRange(n, *[F.col(c) for c in g], *cols)
+              .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
+    pieces = ranged.groupBy("__pid", *g).agg(*[F.sum(f"__v_{k}").alias(f"__t_{k}") for k in sums])
+    wp = Window.partitionBy(*g).orderBy("__pid")  # pieces: <= partitions x groups-per-partition rows
+    offs = pieces.select("__pid", *g, *[(F.sum(f"__t_{k}").over(wp) - F.col(f"__t_{k}")).alias(f"__o_{k}")
+                                        for k in sums])
+    w = (Window.partitionBy("__pid", *g).orderBy(*cols)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Without groups the offsets are one row per partition: a proven bound, broadcast.
+    # With groups their number follows the data, so the planner (AQE) decides.
+    out = ranged.join(F.broadcast(offs) if not g else offs, ["__pid", *g])
+    out = out.withColumns({k: F.sum(f"__v_{k}").over(w) + F.col(f"__o_{k}") for k in sums})
+    return out.drop("__pid", *[f"__v_{k}" for k in sums], *[f"__o_{k}" for k in sums])
+
+
+def global_row_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx",
+                     group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """0-based position of every row in a total order (within ``group``), computed by
+    ``running_sums`` — never a one-task window."""
+    r = running_sums(df, order, {out: F.lit(1)}, group, partitions)
+    return r.withColumn(out, F.col(out) - 1)
 
 
 def encode_first_seen(df: DataFrame, key: str, order: Sequence[str], out: str = "index") -> DataFrame:
