@@ -64,19 +64,28 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV series from lineitem: open/close = first/last price in row-key order."""
-    li = table(spark, sf_dir, "lineitem")
+    """Daily OHLCV series from lineitem: open/close = first/last price in row-key order.
+
+    Kept on hash aggregation (a struct-ordered ``min_by`` over all rows would force a
+    sort-based aggregate): pass 1 aggregates high/low/volume and the first/last
+    ``l_orderkey`` per date; pass 2 keeps only the lines of those two orders and breaks
+    the tie on the rest of the row key there.  The per-date table is joined by key and
+    AQE broadcasts it once its measured size allows.
+    """
+    li = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
+    main = li.groupBy("date").agg(
+        F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"),
+        F.sum("l_quantity").alias("volume"),
+        F.min("l_orderkey").alias("__kf"), F.max("l_orderkey").alias("__kl"))
+    main = main.checkpoint(eager=True)  # one row per date; reused by both passes, never recomputed
     key = F.struct(*ROW_KEY)
-    return (
-        li.groupBy(F.to_date("l_shipdate").alias("date"))
-        .agg(
-            F.min_by("l_extendedprice", key).alias("open"),
-            F.max_by("l_extendedprice", key).alias("close"),
-            F.max("l_extendedprice").alias("high"),
-            F.min("l_extendedprice").alias("low"),
-            F.sum("l_quantity").alias("volume"),
-        )
-    )
+    ok = F.col("l_orderkey")
+    ends = (li.join(main.select("date", "__kf", "__kl"), "date")
+            .where((ok == F.col("__kf")) | (ok == F.col("__kl"))))
+    oc = ends.groupBy("date").agg(  # min_by / max_by skip null orderings
+        F.min_by("l_extendedprice", F.when(ok == F.col("__kf"), key)).alias("open"),
+        F.max_by("l_extendedprice", F.when(ok == F.col("__kl"), key)).alias("close"))
+    return main.join(oc, "date").select("date", "open", "close", "high", "low", "volume")
 
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
