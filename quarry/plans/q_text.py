@@ -201,7 +201,9 @@ def _bow_parts(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     toks = d.select("doc_id", F.explode(tx.word_tokens(F.col("text"))).alias("token"))
     toks = tx.remove_listed(toks, _stop_df(spark))
-    tf = en.term_counts(toks)
+    # tokenising every document is the expensive part; the term counts feed the vocabulary
+    # fit and every transform, so they are materialised once in the shared checkpoint folder
+    tf = en.term_counts(toks).checkpoint(eager=True)
     n_docs = d.select(F.count(F.lit(1))).scalar()
     vocab = en.fit_vocabulary(tf, n_docs, min_df=2, max_df=0.5, max_features=500)
     return tf, vocab, n_docs
