@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, sharding
+from quarry.llm import bpe, decontaminate, sharding, token_orc
+from quarry.sources.files import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where the public vocabulary ``name`` is installed (the same place on every node)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_orc.write(table(spark, sf_dir, "documents"), new_scratch(spark, "token-orc"), tokenizer("word_bpe_49k.json"))
+    return token_orc.summary(spark, path)
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
