@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontaminate, sharding, simhash, token_orc
+from quarry.llm import bpe, decontaminate, sharding, simhash, token_orc, toxicity
 from quarry.sources.files import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+TOXIC_FROM = 0.3  # score from which a document counts as toxic
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), held_out_mod=4, held_out_rest=2))
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+                         F.slice("nearest", 1, 5).alias("evidence"))
+
+
 @query
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_orc.write(table(spark, sf_dir, "documents"), new_scratch(spark, "token-orc"), tokenizer("word_bpe_49k.json"))
