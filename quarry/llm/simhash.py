@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.graph import cells, components
@@ -33,6 +33,10 @@ HOT = 4096    # distinct fingerprints of one index key in a cell's block
 DENSE = 24    # longer runs of a key are searched breadth first
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def fingerprint(text: str | None, words: int) -> int:
     """Bit i is set if it is in over half the hashes of the text's shingles."""
     parts = (text or "").encode().translate(LOWER).split()  # splits at 20, 09-0D only
@@ -52,16 +56,17 @@ def fingerprint(text: str | None, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, fp (the fingerprint as a signed long).  Null and wordless texts have zero."""
+    """``doc``, text_key (hash of the text), fp (the fingerprint as a signed long).  Null and
+    wordless texts have zero."""
     kind = docs.schema[doc].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["k", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), words) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["k", "text_key", "fp"])
 
-    narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
-    return narrow.mapInArrow(run, f"k {kind}, fp bigint").withColumnRenamed("k", doc)
+    narrow = docs.select(F.col(doc).alias("k"), text_key(docs[text]).alias("text_key"), F.col(text).cast("string").alias("t"))
+    return narrow.mapInArrow(run, f"k {kind}, text_key bigint, fp bigint").withColumnRenamed("k", doc)
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -160,18 +165,32 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, fp, component_id (the least ``doc`` reachable over links, itself included)
-    for every input row.
+    """``doc``, text_key, fp, root (the component's least fingerprint), component_id (the least
+    ``doc`` reachable over links, itself included) for every input row.
 
     Null and wordless texts share the fingerprint zero.  Null ids never name a component
     that has another id.  Repeated rows are kept, an empty table gives no rows, other
     columns are not read.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = fingerprints(docs, words, doc, text).select(F.col(doc).alias("k"), "fp").checkpoint()
+    rows = fingerprints(docs, words, doc, text).select(F.col(doc).alias("k"), "text_key", "fp").checkpoint()
     classes = rows.groupBy("fp").agg(F.min("k").alias("least")).checkpoint()
     roots = components(links(classes, max_bits)).checkpoint()
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least")
-    joint = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    named = classes.join(joint, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(named, "fp").select(F.col("k").alias(doc), "fp", "component_id")
+    joint = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    named = classes.join(joint, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id"))
+    return rows.join(named, "fp").select(F.col("k").alias(doc), "text_key", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all columns, one row of each component: that of the least id (a null id
+    only where there is no other; of repeated rows one)."""
+    found = near_duplicates(docs, words, max_bits, doc, text)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col(doc).isNull().alias("n"), F.col(doc).alias("d"), F.col("text_key").alias("k"))).alias("w"))
+
+    def row_key(d: Column, k: Column) -> Column:
+        return F.md5(F.concat_ws(" ", d.cast("string"), k.cast("string")).cast("binary"))
+
+    keys = first.select(row_key(F.col("w.d"), F.col("w.k")).alias("__row"))
+    marked = docs.withColumn("__row", row_key(docs[doc], text_key(docs[text])))
+    return marked.join(keys, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row")

@@ -109,6 +109,10 @@ class Model:
             return vote
         return float(np.interp(vote, (np.arange(BINS) + 0.5) / BINS, self.curve))
 
+    def score(self, text: str | None) -> float:
+        ids, w = self.vector(text)
+        return self.calibrated(self.vote(*self.nearest(ids, w))) if len(ids) else self.prior
+
 
 def isotonic(hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Rising frequencies of each bin: neighbours that fall are pooled; empty bins lie
@@ -241,3 +245,16 @@ def score(docs: DataFrame, model: Model, doc: str = "doc_id", text: str = "text"
 
     narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
     return narrow.mapInArrow(run, f"k {kind}, score double, nearest array<{kind}>, cosines array<double>, terms array<string>").withColumnRenamed("k", doc)
+
+
+def reject(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """``docs`` with all columns, without the rows whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            yield b.filter(pa.array([m.score(t.as_py()) < threshold for t in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
