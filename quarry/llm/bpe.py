@@ -18,9 +18,7 @@ from __future__ import annotations
 
 import itertools
 from array import array
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,7 +37,7 @@ WINDOW = 16            # bytes that decide on a cut
 CUT_BITS = 7           # a chunk has about 2^7 words
 MIN_CHUNK, MAX_CHUNK = 64, 8192
 PRETOKENS = 200_000    # entries of each of a worker's two generations
-CHUNKS = 50_000
+CHUNKS = 20_000         # chunks kept per worker; the table starts anew beyond it
 
 _GEAR = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
@@ -75,13 +73,31 @@ def chunk_ends(data: bytes, cuts: np.ndarray) -> list[int]:
     return ends
 
 
-@dataclass(slots=True)
+HEAD = 12  # pre-tokens of a chunk that are kept for its left join
+
+
 class Chunk:
-    text: str
-    pretokens: list[str] | None  # until they are encoded
-    starts: Sequence[int]        # of its pre-tokens, and its length
-    first: np.ndarray | None = None  # index of each pre-token's first id
-    ids: np.ndarray | None = None
+    """A chunk, its first and last two pre-tokens and its ids; the rest is split anew when
+    a join needs more, which is rare."""
+
+    __slots__ = ("text", "pretokens", "n", "head", "tail", "ids", "head_ids", "tail_ids")
+
+    def __init__(self, text: str, pretokens: list[str]):
+        self.text, self.pretokens, self.n = text, pretokens, len(pretokens)
+        self.head, self.tail = pretokens[:HEAD], pretokens[-2:]
+
+    def finish(self, pre: Memo) -> None:
+        coded = [pre[p] for p in self.pretokens]
+        self.pretokens = None
+        self.ids = b"".join(coded)
+        self.head_ids, self.tail_ids = list(map(len, coded[:HEAD])), list(map(len, coded[-2:]))
+
+    def part(self, sync: int, settled: int, codec: Codec) -> bytes:
+        """Ids of pre-tokens ``sync`` to ``settled``, which is ``sync`` or the last but two."""
+        if settled == sync:
+            return b""
+        skip = sum(self.head_ids[:sync]) if sync <= HEAD else sum(len(codec.pre[p]) for p in codec.split(self.text)[:sync])
+        return self.ids[skip:len(self.ids) - sum(self.tail_ids[settled - self.n:])]
 
 
 class Codec:
@@ -100,11 +116,6 @@ class Codec:
         self.pre = Memo(PieceModel(self.tok).ids, PRETOKENS)  # ids as int32
         self.chunks: dict[bytes, Chunk] = {}
         self.reused = self.encoded = 0
-        n = self.tok.get_vocab_size(with_added_tokens=True)
-        back = _byte_alphabet()
-        self.bytes_of = [b""] * n
-        for text, i in self.tok.get_vocab(with_added_tokens=True).items():
-            self.bytes_of[i] = text.encode() if text in special else bytes(back[c] for c in text)
 
     def split(self, text: str) -> list[str]:
         if self.unstable_re.search(text):
@@ -117,40 +128,30 @@ class Codec:
             return found
         self.encoded += 1
         text = data.decode()
-        pretokens = self.split(text)
-        out = Chunk(text, pretokens, [0, *itertools.accumulate(map(len, pretokens))])
-        self.chunks[data] = out
+        out = self.chunks[data] = Chunk(text, self.split(text))
         fresh.append(out)
         return out
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text.  Splits and repairs first, then encodes the chunks that are new."""
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids (int32) of each text.  Splits and repairs first, then encodes the chunks that
+        are new."""
         if len(self.chunks) >= CHUNKS:
             self.chunks.clear()
         fresh: list[Chunk] = []
         plans = [self.plan(t, fresh) for t in texts]
         pre = self.pre
         for c in fresh:
-            coded = [pre[p] for p in c.pretokens]
-            c.first = np.cumsum([0, *map(len, coded)]) // 4
-            c.ids = np.frombuffer(b"".join(coded), np.int32)
-            c.starts = array("i", c.starts)
-            c.pretokens = None
-        out = []
-        for plan in plans:
-            parts = [np.frombuffer(b"".join(map(pre.__getitem__, x)), np.int32) if isinstance(x, list)
-                     else np.asarray([x], np.int32) if isinstance(x, int)
-                     else x[0].ids[x[0].first[x[1]]:x[0].first[x[2]]] for x in plan]
-            out.append(np.concatenate(parts) if parts else np.empty(0, np.int32))
-        return out
+            c.finish(pre)
+        return [b"".join([b"".join([pre[p] for p in x]) if isinstance(x, list) else x if isinstance(x, bytes)
+                          else x[0].part(x[1], x[2], self) for x in plan]) for plan in plans]
 
     def plan(self, text: str, fresh: list[Chunk]) -> list:
         """What a text's ids are made of: ids, lists of pre-tokens, and (chunk, from, to)."""
-        if self.special_re is None or not self.special_re.search(text):
+        if not any(s in text for s in self.special):
             return self.plan_plain(text, fresh)
         out = []
         for part in self.special_re.split(text):
-            out += [self.special[part]] if part in self.special else self.plan_plain(part, fresh)
+            out += [np.int32(self.special[part]).tobytes()] if part in self.special else self.plan_plain(part, fresh)
         return out
 
     def plan_plain(self, text: str, fresh: list[Chunk]) -> list:
@@ -159,15 +160,15 @@ class Codec:
         tail, at = "", 0
         for end in chunk_ends(data, cut_points(np.frombuffer(data, np.uint8))):
             c = self.chunk(data[at:end], fresh)
-            at, k = end, len(c.starts) - 1
+            at = end
             sync: int | None = 0
             if tail:
                 tail, sync = self.repair(tail, c, out)
             if sync is None:
                 continue
-            settled = max(sync, k - 2)
+            settled = max(sync, c.n - 2)
             out.append((c, sync, settled))
-            tail = c.text[c.starts[settled]:]
+            tail = "".join(c.tail[settled - c.n:])
         if tail:
             out.append(self.split(tail))
         return out
@@ -175,26 +176,48 @@ class Codec:
     def repair(self, tail: str, c: Chunk, out: list) -> tuple[str, int | None]:
         """Settle the pre-tokens across a join.  Returns the text still open (none if in
         step with the chunk) and the chunk's pre-token from which its own ids hold, or None."""
-        starts, shift = c.starts, len(tail)
-        k, m = len(starts) - 1, 3
+        shift, m, own = len(tail), 3, c.head
         while True:
-            m = min(m, k)
+            m = min(m, c.n)
+            if m > len(own):
+                own = self.split(c.text)
+            starts = [0, *itertools.accumulate(map(len, own[:m]))]
             pretokens = self.split(tail + c.text[:starts[m]])
             end = -shift
             for j in range(len(pretokens) - 2):
                 end += len(pretokens[j])
-                i = bisect_left(starts, end, 0, k) if end >= 0 else k
-                if i < k and starts[i] == end:
+                if 0 <= end < starts[m] and end in starts:
                     out.append(pretokens[:j + 1])
-                    return "", i
-            if m == k:
+                    return "", starts.index(end)
+            if m == c.n:
                 settled = max(0, len(pretokens) - 2)
                 out.append(pretokens[:settled])
                 return "".join(pretokens[settled:]), None
             m *= 2
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
+class Spelling:
+    """The bytes of every id, end to end."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(path)
+        special = {t.content for t in tok.get_added_tokens_decoder().values()}
+        back = _byte_alphabet()
+        spelled = [b""] * tok.get_vocab_size(with_added_tokens=True)
+        for text, i in tok.get_vocab(with_added_tokens=True).items():
+            spelled[i] = text.encode() if text in special else bytes(back[c] for c in text)
+        self.size = np.array(list(map(len, spelled)), np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Texts of the lists of ids that ``offsets`` delimit."""
+        size = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        source = np.repeat(self.start[ids] - ends[:-1], size) + np.arange(ends[-1])
+        data = self.bytes[source].tobytes()
+        return [data[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(ends[offsets].tolist())]
 
 
 class PieceModel:
@@ -243,6 +266,11 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def spelling(path: str) -> Spelling:
+    return Spelling(path)
+
+
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(0, b.num_rows, rows):
@@ -263,8 +291,9 @@ def encode(docs: DataFrame, tokenizer_path: str, doc: str = "doc_id", text: str
         own = codec(tokenizer_path)
         for b in _slices(batches):
             coded = own.encode_many([t or "" for t in b.column(1).to_pylist()])
-            offsets = np.cumsum([0, *map(len, coded)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, np.concatenate(coded))], names=["k", "ids"])
+            offsets = (np.cumsum([0, *map(len, coded)]) // 4).astype(np.int32)
+            values = np.frombuffer(b"".join(coded), np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, values)], names=["k", "ids"])
 
     narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
     return narrow.mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", doc)
@@ -276,9 +305,12 @@ def decode(encoded: DataFrame, tokenizer_path: str, doc: str = "doc_id", ids: st
     kind = encoded.schema[doc].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(tokenizer_path)
+        own = spelling(tokenizer_path)
         for b in _slices(batches):
-            texts = [own.decode(x or []) for x in b.column(1).to_pylist()]
+            lists = b.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            texts = own.decode(flat, np.concatenate([[0], np.cumsum(sizes)]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["k", "ids", "decoded"])
 
     narrow = encoded.select(F.col(doc).alias("k"), F.col(ids).alias("ids"))
