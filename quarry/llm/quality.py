@@ -144,7 +144,7 @@ NAMES = ["k", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 
 
 def assess(docs: DataFrame, refs: References, doc: str = "doc_id", text: str = "text", min_words: int = 50, min_chars: int = 200,
-           word_base: float = 0.22, word_noise: float = 2.0, char_limit: float = 0.26) -> DataFrame:
+           word_base: float = 0.24, word_noise: float = 2.0, char_limit: float = 0.31) -> DataFrame:
     """One row per input row: ``doc``, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed (under 50 words, or over half of them repeat), kept,
     nearest (language), word_distance, char_distance (null where not held against it).
