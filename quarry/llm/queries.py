@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontaminate, line_dedup, maxent, quality, sharding, simhash, token_orc, toxicity
+from quarry.llm import bpe, decontaminate, line_dedup, maxent, quality, sharding, simhash, token_orc, toxicity, warc
 from quarry.sources.files import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,14 @@ def op5_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(docs, *maxent.fit(docs, mod=10, rest=0), mod=10, rest=0)
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
+ORACLE["op6_warc"] = warc.oracle_sql()
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
