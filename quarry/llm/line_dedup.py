@@ -39,6 +39,7 @@ FLUSH = 1 << 16     # lines worked on at a time
 HOT = 200_000       # occurrences of a word per block of its group
 WITNESSES = 3       # candidates per line and word in the first round
 ONE = np.uint64(1)
+WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on all 64
 
 
 class Hashes(dict):
@@ -186,26 +187,26 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                 done = np.union1d(done, ids[first]) if len(done) < 1_000_000 else ids[first]
                 line = np.repeat(np.arange(len(x.size), dtype=np.uint64), x.size)
                 low = x.words & np.uint64((1 << SKETCH_BITS) - 1)
-                keys = np.sort((line << np.uint64(46)) | (level[low] << np.uint64(40)) | (x.words & np.uint64((1 << 40) - 1)))
-                line = (keys >> np.uint64(46)).astype(np.int64)
+                keys = np.sort((line << np.uint64(40)) | (level[low] << np.uint64(34)) | (x.words & WORD))
+                line = (keys >> np.uint64(40)).astype(np.int64)
                 pos = np.arange(len(keys)) - x.start[line]
                 n = x.size[line]
                 take = (pos <= n - -(-num * n // den)) & fresh[line]
-                word = (keys & np.uint64((1 << 40) - 1)).astype(np.int64)
+                word = (keys & WORD).astype(np.int64)
                 if wanted is not None:
                     take &= wanted.value[place(word, SKETCH_BITS)]
                 line, pos, n, word = line[take], pos[take], n[take], word[take]
-                blocks = sketch[word & ((1 << SKETCH_BITS) - 1)] // HOT + 1
+                blocks = sketch[word & ((1 << SKETCH_BITS) - 1)].astype(np.int64) // HOT + 1
                 cell, rows = np.zeros(len(word), np.int64), np.arange(len(word))
                 if (blocks > 1).any():  # every two blocks of a hot word meet in one cell
                     rows = np.repeat(rows, blocks)
                     other = np.arange(len(rows)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                    many = blocks[rows].astype(np.int64)
+                    many = blocks[rows]
                     own = (ids[line[rows]].view(np.uint64) % many.astype(np.uint64)).astype(np.int64)
                     cell = np.minimum(own, other) * many + np.maximum(own, other)
                 at = line[rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(word[rows] + (cell << 40)), pa.array(n[rows].astype(np.int32)), pa.array(pos[rows].astype(np.int32)), pa.array(ids[at]),
+                    [pa.array(word[rows] + (cell << 34)), pa.array(n[rows].astype(np.int32)), pa.array(pos[rows].astype(np.int32)), pa.array(ids[at]),
                      pa.array(x.parity()[at].view(np.int64)), pa.array(place_of[at])], names=["key", "n", "pos", "sid", "parity", "ord"])
 
     return narrow.mapInArrow(run, "key bigint, n int, pos int, sid bigint, parity bigint, ord bigint")
@@ -335,7 +336,7 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     open_ = found.where("early IS NULL").select("late").join(later, "late", "left_anti").checkpoint()
     if not open_.isEmpty():  # lines whose best candidates failed: all of theirs
         rows = prefixes(narrow, counts, share)
-        words = rows.join(open_.withColumnRenamed("late", "sid"), "sid", "left_semi").select((F.col("key") % (1 << 40)).alias("w"))
+        words = rows.join(open_.withColumnRenamed("late", "sid"), "sid", "left_semi").select((F.col("key") % (1 << 34)).alias("w"))
         again = candidates(prefixes(narrow, counts, share, broadcast(members(words, SKETCH_BITS))), share, None)
         again = again.join(open_, "late", "left_semi").join(pairs, ["late", "early"], "left_anti").checkpoint()
         later = later.unionByName(verify(narrow, again, share, broadcast)).distinct()

@@ -179,7 +179,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, doc: str
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("fp", "root", "least")
     joint = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
     named = classes.join(joint, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(named, "fp").select(F.col("k").alias(doc), "text_key", "fp", "root", "component_id")
+    # written, so that both sides of the join are shuffled for it and a hot one can be split
+    return rows.join(named.checkpoint(), "fp").select(F.col("k").alias(doc), "text_key", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 3, doc: str = "doc_id", text: str = "text") -> DataFrame:
