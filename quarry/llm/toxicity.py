@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted
 index, distance-weighted votes, votes calibrated by leave-one-out frequencies.
 
-Terms are words and the 5-character pieces of ``^word$`` (so inflected and joined forms
-share terms).  The terms that count are those much more frequent in toxic examples than
+Terms are words, as ``^word$``, and the 5-character pieces of that (so inflected and joined
+forms share terms).  The terms that count are those much more frequent in toxic examples than
 in the others; a text's vector has (1 + ln tf) * idf of these, scaled to length 1.
 
 Examples are ordered so that similar ones are neighbours, and cut into blocks.  The index
@@ -20,21 +20,27 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
-WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
+SEPARATOR = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")  # of lower-cased text
 GRAM, BLOCK, BINS = 5, 32, 50
 
 
-@lru_cache(maxsize=200_000)
+def marked(text: str | None) -> str:
+    """Lower-cased words, each as ``^word$``, end to end."""
+    return "^" + SEPARATOR.sub("$^", (text or "").lower()) + "$"
+
+
+@lru_cache(maxsize=100_000)
 def terms_of(word: str) -> tuple[str, ...]:
-    marked = f"^{word[:64]}$"
-    return (f"={word[:64]}", *{marked[i:i + GRAM] for i in range(max(1, len(marked) - GRAM + 1))})
+    """``^word$`` and its pieces."""
+    return tuple({word, *(word[i:i + GRAM] for i in range(len(word) - GRAM + 1))})
 
 
 @dataclass
@@ -50,29 +56,25 @@ class Model:
     prior: float           # share of toxic examples among those without any term
     k: int
     curve: np.ndarray | None = None  # calibrated score at the middle of each bin of votes
+    finder: object = None  # of the terms, made where it is used
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"finder": None}
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and weights of a text's terms."""
-        tf: Counter[int] = Counter()
-        for w, n in Counter(WORDS((text or "").lower())).items():
-            for t in self.word_terms(w):
-                tf[t] += n
+        """Numbers and weights of a text's terms, found in one pass over it."""
+        if self.finder is None:
+            self.finder = ahocorasick.Automaton()
+            for t, i in self.terms.items():
+                self.finder.add_word(t, i)
+            self.finder.make_automaton()
+        if not self.terms:
+            return np.empty(0, np.int64), np.empty(0)
+        tf = Counter(i for _, i in self.finder.iter(marked(text)))
         ids = np.array(sorted(tf), np.int64)
         w = (1 + np.log(np.array([tf[i] for i in ids.tolist()], float))) * self.idf[ids] if len(ids) else np.empty(0)
         return ids, w / np.linalg.norm(w) if len(w) else w
 
-    def word_terms(self, word: str) -> tuple[int, ...]:
-        cache = self.__dict__.setdefault("_cache", {})
-        found = cache.get(word)
-        if found is None:
-            if len(cache) > 300_000:
-                cache.clear()
-            terms = self.terms
-            marked = f"^{word[:64]}$"
-            pieces = {marked[i:i + GRAM] for i in range(max(1, len(marked) - GRAM + 1))}
-            found = cache[word] = tuple(terms[t] for t in (f"={word[:64]}", *pieces) if t in terms)
-        return found
-
     def nearest(self, ids: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, exactly; the lower number wins
         ties.  ``skip`` is left out (an example must not find itself)."""
@@ -130,10 +132,11 @@ def isotonic(hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest: int = 2, doc: str = "doc_id",
         text: str = "text", label: str = "toxic", max_examples: int = 20_000, max_terms: int = 3000,
-        min_docs: int = 6, min_lift: float = 5.0, k: int = 15) -> Model:
+        min_docs: int = 6, min_lift: float = 5.0, min_g2: float = 25.0, k: int = 15) -> Model:
     """Model from at most ``max_examples`` labelled documents (the least by hash of their
     id), none of them held out.  A term counts if at least ``min_docs`` toxic examples
-    have it, and they ``min_lift`` times as often as the others.  Null labels are left out;
+    have it, ``min_lift`` times as often as the others, and the log-likelihood ratio of its
+    counts is ``min_g2`` or more (chance alone gives 25 once in 2 million terms).  Null labels are left out;
     of differing labels of a document the majority holds, toxic on a tie.  Without
     examples the model scores 0."""
     spark = docs.sparkSession
@@ -150,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
         for b in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen[y].update({x for w in set(WORDS((t or "").lower())) for x in terms_of(w)})
+                seen[y].update({x for w in set(re.findall(r"\^[^$]+\$", marked(t))) for x in terms_of(w)})
             for y in (0, 1):
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen[y]), pa.string()), pa.array([y] * len(seen[y]), pa.int32()),
                                                   pa.array(list(seen[y].values()), pa.int64())], names=["term", "y", "n"])
@@ -162,8 +165,15 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
                F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b")))
     p, q = (F.col("a") + 0.5) / (n1 + 1.0), (F.col("b") + 0.5) / (n0 + 1.0)
     lift = p / q
-    picked = (by.where((F.col("a") >= min_docs) & (lift >= min_lift))
-              .select("term", (F.col("a") + F.col("b")).alias("df"), ((p - q) * F.log(lift)).alias("gain"))
+    df = F.col("a") + F.col("b")
+    share = (n1 + 0.5) / (n1 + n0 + 1.0)
+
+    def surprise(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    g2 = 2 * (surprise(F.col("a"), df * share) + surprise(F.col("b"), df * (1 - share)))
+    picked = (by.where((F.col("a") >= min_docs) & (lift >= min_lift) & (g2 >= min_g2))
+              .select("term", df.alias("df"), g2.alias("gain"))
               .orderBy(F.desc("gain"), "term").limit(max_terms).collect())
     terms = {r.term: i for i, r in enumerate(picked)}
     idf = np.array([np.log((1 + n1 + n0) / (1 + r.df)) + 1 for r in picked])
