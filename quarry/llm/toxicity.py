@@ -80,25 +80,21 @@ class Model:
         ties.  ``skip`` is left out (an example must not find itself)."""
         bound = w @ self.block_max[ids]
         order = np.argsort(-bound, kind="stable")
-        best, cos = np.empty(0, np.int64), np.empty(0)
-        for i in range(0, len(order), 4):
-            blocks = order[i:i + 4]
-            blocks = blocks[bound[blocks] > 0]
-            if not len(blocks) or (len(cos) >= self.k and bound[blocks[0]] < cos[-1] - 1e-12):
-                break
-            found: Counter[int] = Counter()
+        total = np.zeros(len(self.label))
+        best, cos, i, step = np.empty(0, np.int64), np.empty(0), 0, 8
+        while i < len(order) and bound[order[i]] > 0 and (len(cos) < self.k or bound[order[i]] >= cos[-1] - 1e-12):
+            visit = np.zeros(len(bound), bool)
+            visit[order[i:i + step]] = True
             for t, q in zip(ids.tolist(), w.tolist(), strict=True):
-                lo, hi = self.start[t], self.start[t + 1]
-                post = self.example[lo:hi]
-                for b in blocks.tolist():
-                    a, z = np.searchsorted(post, (b * BLOCK, (b + 1) * BLOCK))
-                    for e, v in zip(post[a:z].tolist(), self.weight[lo + a:lo + z].tolist(), strict=True):
-                        found[e] += q * v
-            found.pop(skip, None)
-            best = np.concatenate([best, np.fromiter(found.keys(), np.int64, len(found))])
-            cos = np.concatenate([cos, np.fromiter(found.values(), float, len(found))])
-            keep = np.lexsort((best, -cos))[:self.k]
-            best, cos = best[keep], cos[keep]
+                post = slice(self.start[t], self.start[t + 1])
+                take = visit[self.example[post] // BLOCK]
+                total[self.example[post][take]] += q * self.weight[post][take]
+            if skip >= 0:
+                total[skip] = 0
+            found = np.flatnonzero(total)
+            best = found[np.lexsort((found, -total[found]))[:self.k]]
+            cos = total[best]
+            i, step = i + step, step * 2
         return best, cos
 
     def vote(self, near: np.ndarray, cos: np.ndarray) -> float:
@@ -131,12 +127,14 @@ def isotonic(hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest: int = 2, doc: str = "doc_id",
-        text: str = "text", label: str = "toxic", max_examples: int = 20_000, max_terms: int = 3000,
-        min_docs: int = 6, min_lift: float = 5.0, min_g2: float = 25.0, k: int = 15) -> Model:
+        text: str = "text", label: str = "toxic", max_examples: int = 20_000, max_terms: int = 256,
+        min_docs: int = 6, min_share: float = 0.01, min_lift: float = 5.0,
+        min_g2: float = 50.0, k: int = 15) -> Model:
     """Model from at most ``max_examples`` labelled documents (the least by hash of their
-    id), none of them held out.  A term counts if at least ``min_docs`` toxic examples
-    have it, ``min_lift`` times as often as the others, and the log-likelihood ratio of its
-    counts is ``min_g2`` or more (chance alone gives 25 once in 2 million terms).  Null labels are left out;
+    id), none of them held out.  A term counts if at least ``min_docs`` toxic examples,
+    and ``min_share`` of them, have it, ``min_lift`` times as often as the others, and the
+    log-likelihood ratio of its counts is ``min_g2`` or more (far beyond chance, as copies
+    among the examples raise it); the ``max_terms`` with the highest ratios are kept.  Null labels are left out;
     of differing labels of a document the majority holds, toxic on a tie.  Without
     examples the model scores 0."""
     spark = docs.sparkSession
@@ -172,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     g2 = 2 * (surprise(F.col("a"), df * share) + surprise(F.col("b"), df * (1 - share)))
-    picked = (by.where((F.col("a") >= min_docs) & (lift >= min_lift) & (g2 >= min_g2))
+    picked = (by.where((F.col("a") >= max(min_docs, min_share * n1)) & (lift >= min_lift) & (g2 >= min_g2))
               .select("term", df.alias("df"), g2.alias("gain"))
               .orderBy(F.desc("gain"), "term").limit(max_terms).collect())
     terms = {r.term: i for i, r in enumerate(picked)}

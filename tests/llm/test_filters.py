@@ -35,7 +35,7 @@ def test_toxicity_on_held_out_documents(spark):
     rows, labels = toxic_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     marks = spark.createDataFrame([*labels, (None, 1), (7, None)], "doc_id bigint, toxic int")
-    model = toxicity.fit(docs, marks, min_docs=3)
+    model = toxicity.fit(docs, marks, min_docs=3, min_g2=5.0)
     held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
     assert held and not held & set(model.ids.tolist())
     got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
@@ -47,7 +47,7 @@ def test_toxicity_on_held_out_documents(spark):
 def test_nearest_examples_are_exact(spark):
     rows, labels = toxic_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), min_docs=3, min_lift=1.2)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), min_docs=3, min_lift=1.2, min_g2=0.0)
     full = np.zeros((len(model.label), len(model.terms)))
     for t in range(len(model.terms)):
         lo, hi = model.start[t], model.start[t + 1]
@@ -65,7 +65,7 @@ def test_nearest_examples_are_exact(spark):
 def test_toxicity_edge_rows(spark):
     rows, labels = toxic_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), min_docs=3)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"), min_docs=3, min_g2=5.0)
     scored = toxicity.score(data.docs(spark), model).collect()
     assert len(scored) == len(data.rows()) and all(0 <= r.score <= 1 for r in scored)
     assert toxicity.score(data.empty(spark), model).count() == 0
