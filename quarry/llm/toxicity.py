@@ -18,7 +18,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -37,10 +36,9 @@ def marked(text: str | None) -> str:
     return "^" + SEPARATOR.sub("$^", (text or "").lower()) + "$"
 
 
-@lru_cache(maxsize=100_000)
-def terms_of(word: str) -> tuple[str, ...]:
+def terms_of(word: str) -> set[str]:
     """``^word$`` and its pieces."""
-    return tuple({word, *(word[i:i + GRAM] for i in range(len(word) - GRAM + 1))})
+    return {word, *(word[i:i + GRAM] for i in range(len(word) - GRAM + 1))}
 
 
 @dataclass
@@ -150,11 +148,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen[y].update({x for w in set(re.findall(r"\^[^$]+\$", marked(t))) for x in terms_of(w)})
-            for y in (0, 1):
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen[y]), pa.string()), pa.array([y] * len(seen[y]), pa.int32()),
-                                                  pa.array(list(seen[y].values()), pa.int64())], names=["term", "y", "n"])
+            for i, (t, y) in enumerate(zip(b.column(0), b.column(1).to_pylist(), strict=True)):
+                words = set(re.findall(r"\^[^$]+\$", marked(t.as_py())))
+                seen[y].update(set().union(*map(terms_of, words)))
+                if i == b.num_rows - 1 or len(seen[0]) + len(seen[1]) > 200_000:  # bounds the memory
+                    for z in (0, 1):
+                        yield pa.RecordBatch.from_arrays([pa.array(list(seen[z]), pa.string()), pa.array([z] * len(seen[z]), pa.int32()),
+                                                          pa.array(list(seen[z].values()), pa.int64())], names=["term", "y", "n"])
+                        seen[z].clear()
 
     total = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     n1, n0 = total.get(1, 0), total.get(0, 0)
