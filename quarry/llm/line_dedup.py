@@ -35,7 +35,7 @@ from quarry.session import ensure_checkpoint_dir
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SKETCH_BITS, CHUNKS = 20, 256
-FLUSH = 1 << 16     # lines worked on at a time
+FLUSH = 1 << 13     # lines worked on at a time
 HOT = 200_000       # occurrences of a word per block of its group
 WITNESSES = 3       # candidates per line and word in the first round
 ONE = np.uint64(1)
