@@ -27,68 +27,55 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.words import Words, blocks
 from quarry.session import ensure_checkpoint_dir
 
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SKETCH_BITS, CHUNKS = 20, 256
 FLUSH = 1 << 13     # lines worked on at a time
 HOT = 200_000       # occurrences of a word per block of its group
-WITNESSES = 3       # candidates per line and word in the first round
+WITNESSES = 16      # candidates per line and word in the first round
 ONE = np.uint64(1)
-WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on all 64
-
-
-class Hashes(dict):
-    """64-bit hash by word; a worker's table starts anew at 300,000 words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hashes = Hashes()
+WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on 51
 
 
 class Lines:
     """Lines with words of some documents, flattened: ``owner`` (document), ``number`` (line),
-    ``size`` (words in the set) and, end to end, the ``words``' hashes."""
-
-    def __init__(self, owner: list[int], number: list[int], sets: list[set[bytes]]):
-        self.owner, self.number = np.array(owner, np.int64), np.array(number, np.int64)
-        self.size = np.fromiter(map(len, sets), np.int64, len(sets))
-        flat = itertools.chain.from_iterable(sets)
-        self.words = np.fromiter(map(_hashes.__getitem__, flat), np.uint64, int(self.size.sum()))
-        self.start = np.cumsum(self.size) - self.size
+    ``size`` (words in the set) and, end to end, the sets' ``words`` (51-bit hashes)."""
+
+    def __init__(self, first: int, w: Words, lo: int, hi: int):
+        base = w.line[lo]
+        keys = np.sort(((w.line[lo:hi] - base).astype(np.uint64) << np.uint64(51)) | (w.hash[lo:hi] >> np.uint64(13)))
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+        self.words = keys & np.uint64((1 << 51) - 1)
+        line = (keys >> np.uint64(51)).astype(np.int64)
+        self.start = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        self.size = np.diff(np.concatenate([self.start, [len(line)]]))
+        at = line[self.start] + base
+        text = np.searchsorted(w.first_line, at, side="right") - 1
+        self.owner, self.number = text + first, at - w.first_line[text]
 
     def ids(self) -> np.ndarray:
         """A hash of each set."""
-        mixed = (np.add.reduceat(self.words, self.start) ^ self.size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (np.add.reduceat(self.words * np.uint64(0xD6E8FEB86659FD93), self.start) ^ self.size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
     def parity(self) -> np.ndarray:
-        return np.bitwise_xor.reduceat(ONE << (self.words >> np.uint64(58)), self.start)
+        return np.bitwise_xor.reduceat(ONE << (self.words >> np.uint64(45)), self.start)
 
 
 def lines_of(texts: Iterator[str | None]) -> Iterator[Lines]:
     """Bounded blocks of the lines that have words."""
-    owner, number, sets = [], [], []
-    for i, text in enumerate(texts):
-        for no, line in enumerate((text or "").encode().translate(LOWER).split(b"\n")):
-            if words := set(line.split()):  # splits at 20, 09-0D only
-                owner.append(i)
-                number.append(no)
-                sets.append(words)
-                if len(sets) >= FLUSH:
-                    yield Lines(owner, number, sets)
-                    owner, number, sets = [], [], []
-    if sets:
-        yield Lines(owner, number, sets)
+    for first, some in blocks(texts):
+        w = Words(some)
+        at = 0
+        while at < len(w.line):
+            end = int(np.searchsorted(w.line, w.line[at] + FLUSH))
+            yield Lines(first, w, at, end)
+            at = end
 
 
 def order_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -147,8 +134,8 @@ def scan(narrow: DataFrame) -> DataFrame:
         none = pa.nulls
         for b in batches:
             texts = b.column(2)
-            n = [(t.as_py() or "").count("\n") + 1 for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), none(b.num_rows, pa.int64()),
+            n = pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, none(b.num_rows, pa.int64()),
                                               none(b.num_rows, pa.int64()), none(b.num_rows, pa.int32()), none(b.num_rows, pa.binary())], names=NAMES)
             d, tk = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy()
             for x in lines_of(t.as_py() for t in texts):
@@ -213,8 +200,8 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
 
 
 def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates (later sid, earlier sid, cut) among rows sorted by key and n.  ``cut``
-    marks lines with more candidates under a word than the ``limit`` given."""
+    """Candidates (later sid, earlier sid, cut) among rows sorted by key and n.  ``cut`` has
+    the rows of lines with as many candidates under a word as the ``limit`` given, or more."""
     num, den = share.numerator, share.denominator
     key, n = rows["key"], rows["n"].astype(np.int64)
     rest = n - rows["pos"]
@@ -247,7 +234,7 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None) -> tup
     if limit is not None and len(found):
         found = best(found, key, limit)
         at, many = np.unique(found[:, 0], return_counts=True)
-        cut = rows["sid"][at[many >= limit]]  # there may be more
+        cut = at[many >= limit]  # there may be more
     return rows["sid"][found[:, 0]], rows["sid"][found[:, 1]], cut
 
 
@@ -260,7 +247,8 @@ def best(found: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
 
 
 def candidates(rows: DataFrame, share: Fraction, limit: int | None) -> DataFrame:
-    """(late, early) pairs of sets; early null marks a line whose candidates were cut."""
+    """(late, early, word) pairs of sets; where the candidates of a line were cut, a row names
+    the word instead of the earlier set."""
     names = ["key", "n", "pos", "sid", "parity", "ord"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +266,15 @@ def candidates(rows: DataFrame, share: Fraction, limit: int | None) -> DataFrame
             keep = np.lexsort((group["ord"], group["sid"], group["n"], group["key"]))  # equal sets: the first line
             group = {c: v[keep] for c, v in group.items()}
             one = np.concatenate([[True], (np.diff(group["key"]) != 0) | (np.diff(group["sid"]) != 0)])
-            late, early, cut = meet({c: v[one] for c, v in group.items()}, share, limit)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([late, cut])), pa.array([*early.tolist(), *[None] * len(cut)], pa.int64())],
-                                             names=["late", "early"])
+            group = {c: v[one] for c, v in group.items()}
+            late, early, cut = meet(group, share, limit)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), pa.nulls(len(cut), pa.int64())]),
+                 pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "word"])
             held, size = [{c: v[end:] for c, v in rows.items()}], size - end
 
     met = rows.repartition("key").sortWithinPartitions("key", "n")
-    return met.mapInArrow(run, "late bigint, early bigint").distinct()
+    return met.mapInArrow(run, "late bigint, early bigint, word bigint").distinct()
 
 
 def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
@@ -331,14 +321,13 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     seen = scan(narrow).checkpoint()
     counts = broadcast(total(seen, SKETCH_BITS))
     found = candidates(prefixes(narrow, counts, share), share, WITNESSES).checkpoint()
-    pairs = found.where("early IS NOT NULL")
+    pairs = found.where("early IS NOT NULL").select("late", "early")
     later = verify(narrow, pairs, share, broadcast).checkpoint()
-    open_ = found.where("early IS NULL").select("late").join(later, "late", "left_anti").checkpoint()
-    if not open_.isEmpty():  # lines whose best candidates failed: all of theirs
-        rows = prefixes(narrow, counts, share)
-        words = rows.join(open_.withColumnRenamed("late", "sid"), "sid", "left_semi").select((F.col("key") % (1 << 34)).alias("w"))
-        again = candidates(prefixes(narrow, counts, share, broadcast(members(words, SKETCH_BITS))), share, None)
-        again = again.join(open_, "late", "left_semi").join(pairs, ["late", "early"], "left_anti").checkpoint()
+    open_ = found.where("early IS NULL").join(later, "late", "left_anti").select("late", "word").checkpoint()
+    if not open_.isEmpty():  # lines whose best candidates failed: all that meet them under the words that were cut
+        words = broadcast(members(open_.select("word"), SKETCH_BITS))
+        again = candidates(prefixes(narrow, counts, share, words), share, None).select("late", "early")
+        again = again.join(open_.select("late"), "late", "left_semi").join(pairs, ["late", "early"], "left_anti").checkpoint()
         later = later.unionByName(verify(narrow, again, share, broadcast)).distinct()
     lines = seen.where("line IS NOT NULL")
     first = lines.groupBy("sid").agg(F.min(F.struct("d", "line", "tk")).alias("f"))
