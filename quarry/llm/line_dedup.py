@@ -37,7 +37,7 @@ from quarry.session import ensure_checkpoint_dir
 SKETCH_BITS, CHUNKS = 20, 256
 FLUSH = 1 << 13     # lines worked on at a time
 HOT = 200_000       # occurrences of a word per block of its group
-WITNESSES = 16      # candidates per line and word in the first round
+WITNESSES = 128     # candidates per line and word in the first round
 ONE = np.uint64(1)
 WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on 51
 

@@ -21,43 +21,49 @@ frequent enough to be a hot key: a word that were would be in the head.
 
 from __future__ import annotations
 
-import itertools
-import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.words import EMPTY, Words, blocks
 from quarry.session import ensure_checkpoint_dir
 
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-END = b""            # the end token; no word is empty
-OWN = 32             # words that are classes of their own
-CLASSES = 64
-HEAD = 1 << 17       # words whose counts every task holds
+OWN = 16             # words that are classes of their own
+CLASSES = 32
+HEAD = 1 << 17       # most words whose counts every task holds
 ROWS = 1 << 12       # weight rows of each feature
 OWN_ROWS = 3072      # words with a feature row of their own
 GROUPS = 3           # previous word, word before it, both
 ALPHA = 0.1          # added to every count
-BATCH = 1 << 15      # tokens scored at a time
-WORDS = 200_000      # entries of a worker's word table; it starts anew beyond them
+BATCH = 1 << 13      # tokens scored at a time
+SLOTS = 1 << 20      # of a worker's two tables of the head
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) >> 1  # fits a signed long
+def spread(n: np.ndarray, size: int) -> np.ndarray:
+    return ((n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % size
 
 
-def ending_class(word: bytes) -> int:
-    return OWN + zlib.crc32(word[-2:]) % (CLASSES - OWN)
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash (63 bits), ending class and ending row of the tokens of all texts, and the texts'
+    sizes; every text closes with the end token, which has no bytes."""
+    w = Words(texts)
+    off = np.searchsorted(w.line, w.first_line)
+    counts = np.diff(off)
+    n = len(texts)
+    at = np.arange(len(w.hash)) + np.repeat(np.arange(n), counts)
 
+    def close(values: np.ndarray, end: int) -> np.ndarray:
+        out = np.full(len(w.hash) + n, end, values.dtype)
+        out[at] = values
+        return out
 
-def ending_row(word: bytes) -> int:
-    return OWN_ROWS + zlib.crc32(word[-3:]) % (ROWS - OWN_ROWS)
+    two, three = close(w.last(2), 0), close(w.last(3), 0)
+    return (close((w.hash >> np.uint64(1)).view(np.int64), int(EMPTY >> np.uint64(1))), OWN + spread(two, CLASSES - OWN),
+            OWN_ROWS + spread(three, ROWS - OWN_ROWS), counts + 1)
 
 
 @dataclass
@@ -71,42 +77,32 @@ class Vocabulary:
     class_words: np.ndarray
     weights: np.ndarray | None = None  # groups x rows x classes
     bias: np.ndarray | None = None     # log shares of the classes
-    rank: dict[int, int] = field(default_factory=dict)
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"rank": {}}
 
+class Coder:
+    """Codes tokens: the head rank, or else -1 - hash; class; feature row.
 
-class Coder(dict):
-    """Number of each word in a worker's table: its head rank or else its hash, class and row."""
+    Two tables of ranks by different bits of the hash find the head words; where words fall
+    into one slot the more frequent has it.  A word without a slot in either counts as
+    outside the head, which is never one of the frequent ones."""
 
     def __init__(self, vocab: Vocabulary):
-        super().__init__()
-        self.vocab = vocab
-        if not vocab.rank:
-            vocab.rank = {h: i for i, h in enumerate(vocab.hashes.tolist())}
-        self.code: list[int] = []  # rank, or -1 - hash
-        self.kind: list[int] = []
-        self.row: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        h = word_hash(word)
-        rank = self.vocab.rank.get(h, -1)
-        self.code.append(rank if rank >= 0 else -1 - h)
-        self.kind.append(rank if 0 <= rank < OWN else ending_class(word))
-        self.row.append(rank if 0 <= rank < OWN_ROWS else ending_row(word))
-        self[word] = n = len(self.code) - 1
-        return n
-
-    def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.hashes = np.append(vocab.hashes, -1)
+        self.tables = []
+        for shift in (0, 24):
+            table = np.full(SLOTS, len(vocab.hashes), np.int32)
+            slot = (vocab.hashes >> shift) & (SLOTS - 1)
+            table[slot[::-1]] = np.arange(len(vocab.hashes), dtype=np.int32)[::-1]
+            self.tables.append((shift, table))
+
+    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Codes, classes and feature rows of the tokens of all texts, and the texts' sizes."""
-        if len(self) > WORDS:
-            self.clear()
-            self.code, self.kind, self.row = [], [], []
-        words = [[*(t or "").encode().translate(LOWER).split(), END] for t in texts]
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(size.sum()))
-        return np.array(self.code, np.int64)[at], np.array(self.kind, np.int64)[at], np.array(self.row, np.int64)[at], size
+        h, kind, row, size = tokens_of(texts)
+        code = -1 - h
+        for shift, table in self.tables:
+            rank = table[(h >> shift) & (SLOTS - 1)]
+            code = np.where(self.hashes[rank] == h, rank, code)
+        return code, np.where((code >= 0) & (code < OWN), code, kind), np.where((code >= 0) & (code < OWN_ROWS), code, row), size
 
 
 def features(row: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -131,11 +127,6 @@ def log_classes(vocab: Vocabulary, f: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def batches_of(b: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for i in range(0, b.num_rows, rows):
-        yield b.slice(i, rows)
-
-
 def train_rows(docs: DataFrame, mod: int, rest: int, doc: str, text: str) -> DataFrame:
     """Texts that are learned from, with a number that deals them to gradient steps."""
     crc = F.crc32(F.coalesce(F.col(doc).cast("string"), F.lit("")).cast("binary"))
@@ -146,19 +137,35 @@ def vocabulary(train: DataFrame) -> tuple[Vocabulary, DataFrame]:
     """The vocabulary of the training texts, and (wh, c): the count of every word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for some in batches_of(b, 2048):
-                found: Counter[bytes] = Counter()
-                for t in some.column(0):
-                    found.update((t.as_py() or "").encode().translate(LOWER).split())
-                found[END] += some.num_rows
-                words = list(found)
-                yield pa.RecordBatch.from_arrays([pa.array(list(map(word_hash, words)), pa.int64()), pa.array(list(map(ending_class, words)), pa.int32()),
-                                                  pa.array(list(found.values()), pa.int64())], names=["wh", "kind", "n"])
-
-    counts = (train.select("t").mapInArrow(count, "wh bigint, kind int, n bigint").groupBy("wh")
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def merged() -> tuple[np.ndarray, ...]:
+            h, kind, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            words, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+            return words, kind[at], np.bincount(inverse, weights=n).astype(np.int64)
+
+        for _, some in blocks(t.as_py() for b in batches for t in b.column(0)):
+            h, kind, _, _ = tokens_of(some)
+            held.append((h, kind, np.ones(len(h), np.int64)))
+            if sum(len(x[0]) for x in held) > 2_000_000:
+                held = [merged()]
+                if len(held[0][0]) > 1_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], names=["wh", "kind", "n"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in merged()], names=["wh", "kind", "n"])
+
+    counts = (train.select("t").mapInArrow(count, "wh bigint, kind bigint, n bigint").groupBy("wh")
               .agg(F.sum("n").alias("c"), F.max("kind").alias("kind")).checkpoint())
-    head = counts.orderBy(F.desc("c"), "wh").limit(HEAD).collect()  # at most HEAD rows
+    # the head: all words from a count on that few enough reach, found from a short histogram
+    step = F.floor(F.log2("c") * 64)
+    at_least, room = None, HEAD
+    for r in counts.groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect():  # at most 64 rows per doubling
+        room -= r["count"]
+        if room < 0:
+            break
+        at_least = r.s
+    head = counts.where(step >= at_least).collect() if at_least is not None else []  # at most HEAD rows
+    head.sort(key=lambda r: (-r.c, r.wh))
     tokens, words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in counts.groupBy("kind").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():  # at most CLASSES
         tokens[r.kind], words[r.kind] = r.c, r.n
@@ -210,8 +217,8 @@ def fit(docs: DataFrame, mod: int = 10, rest: int = 0, steps: int = 2, rate: flo
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, total = Coder(sent.value), np.zeros(shape)
-        for b in itertools.chain.from_iterable(map(batches_of, batches)):
-            _, kind, row, size = coder.texts(b.column(0).to_pylist())
+        for _, some in blocks(t.as_py() for b in batches for t in b.column(0)):
+            _, kind, row, size = coder.texts(some)
             f = features(row, size)
             for g in range(GROUPS):
                 total[g] += np.bincount(f[g] * CLASSES + kind, minlength=ROWS * CLASSES).reshape(ROWS, CLASSES)
@@ -230,8 +237,8 @@ def fit(docs: DataFrame, mod: int = 10, rest: int = 0, steps: int = 2, rate: flo
         def gradient(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             model = now.value
             coder, total = Coder(model), np.zeros(shape, np.float32)
-            for b in itertools.chain.from_iterable(map(batches_of, batches)):
-                _, kind, row, size = coder.texts(b.column(0).to_pylist())
+            for _, some in blocks(t.as_py() for b in batches for t in b.column(0)):
+                _, kind, row, size = coder.texts(some)
                 every = features(row, size)
                 for i in range(0, len(kind), BATCH):
                     f, k = every[:, i:i + BATCH], kind[i:i + BATCH]
@@ -269,8 +276,8 @@ def score(docs: DataFrame, vocab: Vocabulary, counts: DataFrame, mod: int = 10,
         base_all = np.log10(v.tokens + ALPHA * (v.distinct + 1))
         class_all = np.log10(v.class_tokens + ALPHA * (v.class_words + 1))
         log_count = np.log10(v.counts + ALPHA)
-        for b in itertools.chain.from_iterable(map(batches_of, batches)):
-            code, klass, row, size = coder.texts(b.column(2).to_pylist())
+        for b in (whole.slice(first, len(some)) for whole in batches for first, some in blocks(whole.column(2).to_pylist())):
+            code, klass, row, size = coder.texts([(t.as_py() or "").encode() for t in b.column(2)])
             starts = np.cumsum(size) - size
             every = features(row, size)
             by_class = np.empty(len(code))

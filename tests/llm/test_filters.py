@@ -148,7 +148,7 @@ def test_maxent_gradient_sums_are_exact(spark):
     start, _ = maxent.fit(docs, steps=0)
     after, _ = maxent.fit(docs, steps=1, rate=0.5)
     coder = maxent.Coder(start)
-    texts = [r.text for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
+    texts = [r.text.encode() for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
     _, kind, row, size = coder.texts(texts)
     f = maxent.features(row, size)
     rest = -np.exp(maxent.log_classes(start, f))
