@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from quarry.llm.words import EMPTY, Words, blocks
 from quarry.session import ensure_checkpoint_dir
 
-OWN = 16             # words that are classes of their own
-CLASSES = 32
+OWN = 24             # words that are classes of their own
+CLASSES = 48
 HEAD = 1 << 17       # most words whose counts every task holds
 ROWS = 1 << 12       # weight rows of each feature
 OWN_ROWS = 3072      # words with a feature row of their own
@@ -245,7 +245,7 @@ def fit(docs: DataFrame, mod: int = 10, rest: int = 0, steps: int = 2, rate: flo
                     rest_ = -np.exp(log_classes(model, f))
                     rest_[np.arange(len(k)), k] += 1
                     for g in range(GROUPS):
-                        order = np.argsort(f[g], kind="stable")
+                        order = np.argsort(f[g].astype(np.uint16), kind="stable")  # 16 bits sort by radix
                         at = f[g][order]
                         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
                         total[g][at[first]] += np.add.reduceat(rest_[order], first, axis=0)
