@@ -8,7 +8,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -127,6 +126,3 @@ def vector_mean_arrays(df: DataFrame, key: str, vec: str) -> DataFrame:
     return (long.groupBy(key)
             .agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("__s"))
             .select(key, F.transform("__s", lambda s: s["mean"]).alias(vec)))
-
-
-_ = T

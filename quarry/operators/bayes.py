@@ -3,25 +3,24 @@
 Features are long — ``(row, feature, value)`` — so a sparse row never becomes dense.
 Fitting is one grouped aggregate per feature (class counts side by side); scoring
 joins a row's features to that per-feature table and sums log-terms per row.  Only
-class-sized numbers (priors, totals) reach the driver; the number of classes is
-checked against ``max_classes``.
+class-sized numbers (priors, totals) reach the driver.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def classes_of(labels: DataFrame, label: str, max_classes: int = 1000) -> list:
-    vals = [r[0] for r in labels.select(label).distinct().orderBy(label).limit(max_classes + 1).collect()]
-    if len(vals) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    return vals
+def classes_of(labels: DataFrame, label: str) -> list:
+    """The classes, which are as many as the model has columns.  Rows without one don't train."""
+    return [r[0] for r in labels.select(label).distinct().where(F.col(label).isNotNull()).orderBy(label).collect()]
 
 
 def priors(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -51,6 +50,8 @@ class NBModel:
 
     def scores(self, features: DataFrame, rows: DataFrame, row: str, value: str) -> DataFrame:
         k = len(self.classes)
+        if self.kind == "bernoulli":  # a stored row means x = 1, whatever its count
+            features = features.select(row, self.feature).distinct().withColumn(value, F.lit(1.0))
         j = features.join(self.table, self.feature)
         sums = j.groupBy(row).agg(*[F.sum(F.col(value) * F.col(f"w_{i}")).alias(f"s_{i}") for i in range(k)],
                                   F.sum(value).alias("sx"))
@@ -132,37 +133,45 @@ def bernoulli_likelihood(features: DataFrame, labels: DataFrame, alpha: float =
     return s.join(nc, label).select(label, feature, ((F.col("__s") + alpha) / (F.col("__n") + 2 * alpha)).alias("theta"))
 
 
-def fit_gaussian(df: DataFrame, vec: str, label: str = "label", var_smoothing: float = 1e-9):
+def gaussian_stats(df: DataFrame, vec: str, label: str = "label") -> tuple[dict, np.ndarray]:
+    """M6: class -> (rows, means, population variances), and the variances over all rows, from
+    one aggregate (rows, sums and sums of squares by class and dimension)."""
+    long = df.where(F.col(label).isNotNull()).select(label, F.posexplode(vec).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
+    sums = long.groupBy(label, "pos").agg(F.count("x").alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v")).collect()
+    d = 1 + max((r.pos for r in sums), default=-1)
+    found: dict = {}
+    for r in sums:  # classes x dimensions: model-sized
+        n, mean, var = found.setdefault(r[label], (np.zeros(d), np.zeros(d), np.zeros(d)))
+        n[r.pos], mean[r.pos], var[r.pos] = r.n, r.m, r.v
+    n = sum(x[0] for x in found.values())
+    mean = sum(x[0] * x[1] for x in found.values()) / n
+    spread = sum(x[0] * (x[2] + (x[1] - mean) ** 2) for x in found.values()) / n
+    return dict(sorted(found.items())), spread
+
+
+def fit_gaussian(df: DataFrame, vec: str, label: str = "label", var_smoothing: float = 1e-9, stats=None):
     """M6: per-class mean and population variance per dimension, variances widened by
     ``var_smoothing`` x the largest per-dimension variance over all rows.  Returns a
-    function adding ``pred`` (and per-class log-likelihood array ``jll``)."""
-    classes = classes_of(df, label)
-    long = df.select(label, F.posexplode(vec).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
-    stats = long.groupBy(label, "pos").agg(F.avg("x").alias("m"), F.var_pop("x").alias("v")).collect()
-    eps = var_smoothing * long.groupBy("pos").agg(F.var_pop("x").alias("v")).agg(F.max("v")).first()[0]
-    nc = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    n = sum(nc.values())
-    d = 1 + max(r.pos for r in stats)
-    mean = {c: [0.0] * d for c in classes}
-    var = {c: [0.0] * d for c in classes}
-    for r in stats:
-        mean[r[label]][r.pos] = r.m
-        var[r[label]][r.pos] = r.v + eps
+    function adding ``pred`` and ``jll``, the per-class log-likelihoods.  ``stats`` of the
+    same rows may be given, so that several smoothings share them."""
+    found, spread = stats or gaussian_stats(df, vec, label)
+    eps = var_smoothing * float(spread.max())
+    n = sum(float(x[0][0]) for x in found.values())
+    classes = list(found)
+    model = [{"mu": mean.tolist(), "iv": (1 / (var + eps)).tolist(),
+              "c": math.log(rows[0] / n) - 0.5 * float(np.log(2 * math.pi * (var + eps)).sum())} for rows, mean, var in found.values()]
+    table = F.from_json(F.lit(json.dumps(model)), "array<struct<mu:array<double>,iv:array<double>,c:double>>")
 
     def transform(frame: DataFrame) -> DataFrame:
         x = F.transform(F.col(vec), lambda t: t.cast("double"))
-        jll = []
-        for c in classes:
-            const = math.log(nc[c] / n) - 0.5 * sum(math.log(2 * math.pi * v) for v in var[c])
-            mu = F.array(*[F.lit(v) for v in mean[c]])
-            iv = F.array(*[F.lit(1.0 / v) for v in var[c]])
-            quad = F.aggregate(F.zip_with(F.zip_with(x, mu, lambda a, b: (a - b) * (a - b)), iv,
-                                          lambda q, w: q * w), F.lit(0.0), lambda a, b: a + b)
-            jll.append(F.lit(const) - 0.5 * quad)
-        arr = F.array(*jll)
-        cls = F.array(*[F.lit(c) for c in classes])
-        best = F.array_position(arr, F.array_max(arr)).cast("int")
-        return frame.withColumn("jll", arr).withColumn("pred", F.element_at(cls, best))
+
+        def one(m: Column) -> Column:
+            far = F.zip_with(F.zip_with(x, m["mu"], lambda a, b: (a - b) * (a - b)), m["iv"], lambda q, w: q * w)
+            return m["c"] - 0.5 * F.aggregate(far, F.lit(0.0), lambda a, b: a + b)
+
+        scored = frame.withColumn("jll", F.transform(table, one))
+        best = F.array_position("jll", F.array_max("jll")).cast("int")
+        return scored.withColumn("pred", F.element_at(F.array(*[F.lit(c) for c in classes]), best))
     return transform
 
 
@@ -187,39 +196,30 @@ def cv_grid_auc(features: DataFrame, labels: DataFrame, folds: DataFrame, alphas
     tot_f = {r[fold]: (r["t0"], r["t1"]) for r in per_fold.groupBy(fold).agg(
         F.sum("f0").alias("t0"), F.sum("f1").alias("t1")).collect()}
     t_all = (sum(t[0] for t in tot_f.values()), sum(t[1] for t in tot_f.values()))
-    n_f = {(r[fold], r[label]): r["count"] for r in lab.groupBy(fold, label).count().collect()}
-    folds_list = sorted({f for f, _ in n_f})
-    n_all = {c: sum(n_f.get((f, c), 0) for f in folds_list) for c in (neg, posc)}
+    folds_list = sorted(r[0] for r in lab.select(fold).distinct().collect())
     # per (fold, feature): training counts with the fold held out
     train = per_fold.join(allc, feature).select(fold, feature, (F.col("a0") - F.col("f0")).alias("c0"),
                                                 (F.col("a1") - F.col("f1")).alias("c1"))
-    settings = [(float(a), bool(fp)) for a in alphas for fp in fit_priors]
-    s_arr = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(fp).alias("fit_prior")) for a, fp in settings])
     rows_f = fl.select(row, fold, feature, value).join(train, [fold, feature])
-    per_row = (rows_f.select(row, fold, value, "c0", "c1", F.explode(s_arr).alias("s"))
-               .select(row, fold, value, "c0", "c1", F.col("s.alpha").alias("alpha"),
-                       F.col("s.fit_prior").alias("fit_prior"))
-               .groupBy(row, fold, "alpha", "fit_prior")
-               .agg(F.sum(F.col(value) * (F.log(F.col("c1") + F.col("alpha")) -
-                                          F.log(F.col("c0") + F.col("alpha")))).alias("lr"),
-                    F.sum(value).alias("sx")))
+    per_row = rows_f.groupBy(row, fold).agg(
+        *[F.sum(F.col(value) * (F.log(F.col("c1") + float(a)) - F.log(F.col("c0") + float(a)))).alias(f"lr{i}") for i, a in enumerate(alphas)],
+        F.sum(value).alias("sx"))
     # per fold constants: held-out totals, priors — a literal map keyed by fold (<= k folds)
     def lit_map(fn):
         return F.create_map(*[x for f in folds_list for x in (F.lit(f), F.lit(float(fn(f))))])
-    tr0 = lit_map(lambda f: t_all[0] - tot_f[f][0])
-    tr1 = lit_map(lambda f: t_all[1] - tot_f[f][1])
-    nn0 = lit_map(lambda f: n_all[neg] - n_f.get((f, neg), 0))
-    nn1 = lit_map(lambda f: n_all[posc] - n_f.get((f, posc), 0))
-    # every labelled row gets every setting, with or without features
-    grid = (lab.select(row, fold, label, F.explode(s_arr).alias("s"))
-            .select(row, fold, label, F.col("s.alpha").alias("alpha"), F.col("s.fit_prior").alias("fit_prior")))
-    held = grid.join(per_row, [row, fold, "alpha", "fit_prior"], "left").fillna(0.0, ["lr", "sx"])
-    a = F.col("alpha")
+    tr0 = lit_map(lambda f: t_all[0] - tot_f.get(f, (0, 0))[0])
+    tr1 = lit_map(lambda f: t_all[1] - tot_f.get(f, (0, 0))[1])
+    # one row per labelled row, with or without features; the scores of all settings side by
+    # side.  A learned prior adds the same number to every score of a fold, which changes no
+    # AUC, so both priors of an alpha share it.
+    held = lab.join(per_row, [row, fold], "left").fillna(0.0, [*(f"lr{i}" for i in range(len(alphas))), "sx"])
     f = F.col(fold)
-    logratio = (F.col("lr") - F.col("sx") * (F.log(F.element_at(tr1, f) + a * v) - F.log(F.element_at(tr0, f) + a * v))
-                + F.when(F.col("fit_prior"), F.log(F.element_at(nn1, f)) - F.log(F.element_at(nn0, f)))
-                .otherwise(F.lit(0.0)))
-    scored = held.select("alpha", "fit_prior", fold,
-                         (F.col(label) == posc).cast("int").alias("__y"), logratio.alias("__s"))
-    per = auc(scored, "__y", "__s", 1, ["alpha", "fit_prior", fold])
-    return per.groupBy("alpha", "fit_prior").agg(F.avg("auc").alias("mean_auc"))
+
+    def ratio(i: int, a: float) -> Column:
+        return F.col(f"lr{i}") - F.col("sx") * (F.log(F.element_at(tr1, f) + a * v) - F.log(F.element_at(tr0, f) + a * v))
+
+    scores = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), ratio(i, float(a)).alias("s")) for i, a in enumerate(alphas)])
+    scored = (held.select(fold, (F.col(label) == posc).cast("int").alias("__y"), F.explode(scores).alias("x"))
+              .select(fold, "__y", F.col("x.alpha").alias("alpha"), F.col("x.s").alias("__s")))
+    per = auc(scored, "__y", "__s", 1, ["alpha", fold]).groupBy("alpha").agg(F.avg("auc").alias("mean_auc"))
+    return per.select("alpha", F.explode(F.array(*[F.lit(bool(p)) for p in fit_priors])).alias("fit_prior"), "mean_auc")

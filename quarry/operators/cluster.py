@@ -14,11 +14,13 @@ from quarry.operators.aggregate import vector_mean_by
 from quarry.operators.relate import nearest_centre
 
 
-def init_sample(df: DataFrame, vec: str, k: int, seed: int = 42) -> list[list[float]]:
-    """k starting centres drawn with replacement, in seeded hash order (bounded fetch)."""
-    key = F.md5(F.concat(F.monotonically_increasing_id().cast("string"), F.lit(str(seed))))
-    rows = df.select(vec).orderBy(key).limit(k).collect()
-    return [[float(v) for v in r[0]] for r in rows]
+def init_sample(df: DataFrame, vec: str, k: int, seed: int = 42, row: str | None = None) -> list[list[float]]:
+    """k starting centres drawn with replacement (bounded fetch): draw i takes the row with
+    the least hash of its id (``row``, or else the vector) and (seed, i), so the start
+    doesn't depend on the partitioning and one row may be drawn twice."""
+    key = F.col(row).cast("string") if row else F.array_join(F.transform(F.col(vec), lambda x: x.cast("string")), ",")
+    first = df.agg(*[F.min_by(vec, F.md5(F.concat(key, F.lit(f"|{seed}|{i}")).cast("binary"))).alias(f"c{i}") for i in range(k)]).first()
+    return [[float(v) for v in c] for c in first]
 
 
 def kmeans_step(df: DataFrame, vec: str, centres: list[list[float]], out: str = "cluster"):
@@ -32,9 +34,9 @@ def kmeans_step(df: DataFrame, vec: str, centres: list[list[float]], out: str =
 
 
 def kmeans(df: DataFrame, vec: str, k: int, max_iter: int = 100, tol: float = 1e-4, seed: int = 42,
-           centres: list[list[float]] | None = None):
+           centres: list[list[float]] | None = None, row: str | None = None):
     """Iterate until the Frobenius norm of the centre move is <= tol."""
-    c = centres or init_sample(df, vec, k, seed)
+    c = centres or init_sample(df, vec, k, seed, row)
     base = df.checkpoint(eager=True)
     for _ in range(max_iter):
         _, new = kmeans_step(base, vec, c)

@@ -8,7 +8,6 @@ Spark ML stages are used where their meaning matches the reference's library.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,17 +16,17 @@ from pyspark.ml.feature import (PCA, FeatureHasher, OneHotEncoder, RFormula, Str
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.relate import bounded_broadcast, global_row_index
+from quarry.operators.relate import global_row_index
 
 
 # ------------------------------------------------------------------ Spark ML stages
 
 def onehot_stages(cols: Sequence[str], features: str = "features") -> list:
     """Frequency-ordered indexers (unseen kept), one-hot, assembler."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cols]
-    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_vec" for c in cols])
-    asm = VectorAssembler(inputCols=[f"{c}_vec" for c in cols], outputCol=features)
-    return [*idx, enc, asm]
+    index, vector = ([f"{c}__{kind}" for c in cols] for kind in ("index", "onehot"))
+    # one indexer for all columns: their counts come from a single pass
+    return [StringIndexer(inputCols=list(cols), outputCols=index, handleInvalid="keep", stringOrderType="frequencyDesc"),
+            OneHotEncoder(inputCols=index, outputCols=vector), VectorAssembler(inputCols=vector, outputCol=features)]
 
 
 def fit_onehot(train: DataFrame, cols: Sequence[str], features: str = "features") -> PipelineModel:
@@ -50,29 +49,24 @@ def formula_features(formula: str, out: str = "features", label: str = "label")
 def category_vocabulary(fit_df: DataFrame, cols: Sequence[str], out: str = "index") -> DataFrame:
     """X7/X9 fit: every (column, value) seen while fitting as ``name = col=value``,
     indexed in sorted name order."""
-    parts = [fit_df.select(F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("feature"))
-             for c in cols]
-    names = parts[0]
-    for p in parts[1:]:
-        names = names.unionByName(p)
+    names = fit_df.select(F.explode(F.array(*[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in cols])).alias("feature"))
     return global_row_index(names.where(F.col("feature").isNotNull()).distinct(), ["feature"], out)
 
 
 def one_hot_long(df: DataFrame, id_col: str, cols: Sequence[str], vocab: DataFrame,
                  index: str = "index") -> DataFrame:
     """X7/X9 transform: (id, feature, index, value=1); values unseen at fit time vanish."""
-    stacked = None
-    for c in cols:
-        part = df.select(id_col, F.concat(F.lit(f"{c}="), F.col(c).cast("string")).alias("feature"))
-        stacked = part if stacked is None else stacked.unionByName(part)
+    names = F.array(*[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in cols])
+    stacked = df.select(id_col, F.explode(names).alias("feature"))  # one scan for all columns
     return (stacked.join(vocab.select("feature", index), "feature")
             .select(id_col, "feature", index, F.lit(1.0).alias("value")))
 
 
-def dummies(df: DataFrame, cols: Sequence[str], max_categories: int = 1000) -> DataFrame:
+def dummies(df: DataFrame, cols: Sequence[str], max_categories: int) -> DataFrame:
     """One 0/1 column per distinct value of each chosen column (``get_dummies``).
 
-    Distinct values become columns, so they are fetched — at most ``max_categories``.
+    Distinct values become columns of the plan; the caller says how many columns a table
+    may get (``max_categories`` each).  For more, ``one_hot_long`` has no bound.
     """
     out = df
     for c in cols:
@@ -155,25 +149,16 @@ def fit_vocabulary(tf: DataFrame, n_docs: Column | int, min_df: float = 1, max_d
     return global_row_index(kept, ["term"], "index")
 
 
-def bag_of_words(tf: DataFrame, vocab: DataFrame, max_vocab_rows: int | None = None) -> DataFrame:
+def bag_of_words(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     """X13 transform: (doc, term, index, tf) restricted to the vocabulary."""
-    v = vocab.select("term", "index")
-    if max_vocab_rows is not None:
-        v = bounded_broadcast(v, max_vocab_rows)
-    return tf.join(v, "term")
+    return tf.join(vocab.select("term", "index"), "term")
 
 
-def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: Column | int, doc: str = "doc_id",
-          max_vocab_rows: int | None = None) -> DataFrame:
+def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: Column | int, doc: str = "doc_id") -> DataFrame:
     """weight = tf * (ln((1 + n) / (1 + df)) + 1), L2-normalised per document."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    v = vocab.select("term", "index", "df")
-    if max_vocab_rows is not None:
-        v = bounded_broadcast(v, max_vocab_rows)
-    raw = tf.join(v, "term").withColumn(
+    raw = tf.join(vocab.select("term", "index", "df"), "term").withColumn(
         "w", F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
     return raw.select(doc, "term", "index", (F.col("w") / norm).alias("weight"))
 
-
-_ = math

@@ -98,10 +98,24 @@ def train_logistic_gd(df, dim, max_iter=1000, learning_rate=0.1, fit_intercept=F
     return train_gd(d, dim + int(fit_intercept), logistic_grad, max_iter, learning_rate, **kw)
 
 
-def train_linear_gd(df, dim, max_iter=1000, learning_rate=0.001, fit_intercept=False, **kw):
-    """M28."""
-    d = with_intercept(df, kw.get("features", "features")) if fit_intercept else df
-    return train_gd(d, dim + int(fit_intercept), squared_grad, max_iter, learning_rate, **kw)
+def train_linear_gd(df, dim, max_iter=1000, learning_rate=0.001, fit_intercept=False, features="features",
+                    label="label", log_every=100):
+    """M28.  The squared error's gradient is X'y - X'X w, so one pass over the rows sums X'X,
+    X'y and y'y (``dim`` x ``dim`` numbers) and every step after it is exact without the rows."""
+    d = with_intercept(df, features) if fit_intercept else df
+    m = dim + int(fit_intercept)
+
+    def moments(X, y, _):
+        return np.concatenate([(X.T @ X).ravel(), X.T @ y]), float(y @ y)
+
+    s, yy, n = sum_gradient(d, np.zeros(m * m + m), moments, features, label)
+    xx, xy = s[:m * m].reshape(m, m), s[m * m:]
+    w, costs, n = np.zeros(m), [], max(n, 1)
+    for it in range(max_iter):
+        if it % log_every == 0:
+            costs.append((it, float(yy - 2 * w @ xy + w @ xx @ w) / 2 / n))
+        w = w + learning_rate / n * (xy - xx @ w)
+    return w, costs
 
 
 def predict_linear(df: DataFrame, w, features: str = "features", out: str = "prediction",
@@ -115,35 +129,38 @@ def predict_linear(df: DataFrame, w, features: str = "features", out: str = "pre
 
 def train_logistic_sgd(df: DataFrame, dim: int, epochs: int = 5, learning_rate: float = 0.01,
                        features: str = "features", label: str = "label", seed: int = 42,
-                       w0: np.ndarray | None = None) -> np.ndarray:
-    """Per-sample SGD run inside every partition, weights averaged after each epoch
-    (parameter mixing, Zinkevich et al. 2010).  Sequential order exists only within a
-    partition, so the result is close to — not equal to — one sequential pass."""
+                       w0: np.ndarray | None = None, batch: int = 8) -> np.ndarray:
+    """SGD run inside every partition on shuffled mini-batches, weights averaged by rows
+    after each epoch (parameter mixing, Zinkevich et al. 2010).  Sequential order exists only
+    within a partition, so the result is close to, not equal to, one sequential pass.  An
+    epoch is one job: the row count rides along with the weights."""
     w = np.zeros(dim) if w0 is None else np.asarray(w0, dtype=np.float64)
     for ep in range(epochs):
         wl, lr, sd = w.tolist(), learning_rate, seed + ep
 
         def run(it):
+            from pyspark import TaskContext
             wv = np.asarray(wl)
             n = 0
-            rng = np.random.default_rng(sd)
+            rng = np.random.default_rng([sd, TaskContext.get().partitionId()])
             for pdf in it:
                 if len(pdf) == 0:
                     continue
                 X = _matrix(pdf, features)
                 y = pdf[label].to_numpy(dtype=np.float64)
-                for i in rng.permutation(len(y)):
-                    p = _sigmoid(np.array([X[i] @ wv]))[0]
-                    wv = wv + lr * (y[i] - p) * X[i]
+                order = rng.permutation(len(y))
+                for i in range(0, len(y), batch):
+                    rows = order[i:i + batch]
+                    wv = wv + lr * X[rows].T @ (y[rows] - _sigmoid(X[rows] @ wv))
                 n += len(y)
-            yield pd.DataFrame({"w": [(wv * n).tolist()], "n": [n]})
+            yield pd.DataFrame({"w": [[*(wv * n).tolist(), float(n)]]})
 
-        parts = df.select(features, label).mapInPandas(run, "w array<double>, n long")
-        n = parts.agg(F.sum("n")).first()[0] or 1
+        parts = df.select(features, label).mapInPandas(run, "w array<double>")
         vec = parts.select(F.posexplode("w").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-        w = np.zeros(dim)
+        total = np.zeros(dim + 1)
         for r in vec:
-            w[r.i] = r.v / n   # row-weighted average of the partition models
+            total[r.i] = r.v  # dim + 1 rows: model-sized
+        w = total[:dim] / max(total[dim], 1.0)
     return w
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.relate import running_sums
+from quarry.session import ensure_checkpoint_dir
 
 
 def _c(x: str | Column) -> Column:
@@ -49,10 +50,14 @@ def precision_recall_f1(df: DataFrame, y: str, p: str, pos=1) -> DataFrame:
 def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """Per class (precision, recall, f1, support) plus accuracy, macro avg and
     weighted avg rows; class names are strings in column ``class``."""
-    per_true = df.groupBy(F.col(y).alias("k")).agg(F.count(F.lit(1)).alias("support"))
-    per_pred = df.groupBy(F.col(p).alias("k")).agg(F.count(F.lit(1)).alias("npred"))
-    hits = df.where(F.col(y) == F.col(p)).groupBy(F.col(y).alias("k")).agg(F.count(F.lit(1)).alias("tp"))
-    k = per_true.join(per_pred, "k", "full").join(hits, "k", "left").fillna(0, ["support", "npred", "tp"])
+    ensure_checkpoint_dir(df.sparkSession)
+    # one pass over the rows: counts of (label, prediction), then everything from these
+    pairs = df.groupBy(F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    sides = F.explode(F.array(F.struct(F.col("y").alias("k"), F.col("n").alias("support"), F.lit(0).cast("long").alias("npred")),
+                              F.struct(F.col("p").alias("k"), F.lit(0).cast("long").alias("support"), F.col("n").alias("npred"))))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    k = (pairs.select(sides.alias("s"), hit.alias("hit")).select("s.*", F.when(F.col("s.support") > 0, F.col("hit")).otherwise(0).alias("hit"))
+         .groupBy("k").agg(F.sum("support").alias("support"), F.sum("npred").alias("npred"), F.sum("hit").alias("tp")))
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("npred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     per = k.select(F.col("k").cast("string").alias("class"), prec.alias("precision"), rec.alias("recall"),
@@ -60,7 +65,8 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     per = per.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                                        F.col("precision") + F.col("recall")), F.lit(0.0)))
     tot = per.agg(F.sum("support").alias("n"))
-    acc = df.agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("a"), F.count(F.lit(1)).alias("n"))
+    right = F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0))
+    acc = pairs.agg((right / F.sum(F.when(F.col("y").isNotNull() & F.col("p").isNotNull(), F.col("n")))).alias("a"), F.sum("n").alias("n"))
     macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
                     F.avg("recall").alias("recall"), F.sum("support").alias("support"), F.avg("f1").alias("f1"))
     n = tot.select("n").scalar()
@@ -88,10 +94,15 @@ def roc_points(df: DataFrame, y: str, score: str, pos=1, group: Sequence[str] =
     """E5: (threshold, fpr, tpr) for every distinct score, from the highest down."""
     sc = score_counts(df, y, score, pos, group)
     cum = running_sums(sc, [F.desc("score")], {"cpos": F.col("pos"), "cneg": F.col("neg")}, group)
+    # the totals are the largest running counts, which are at hand
     if group:
-        j = cum.join(sc.groupBy(*group).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")), list(group))
-    else:  # totals as scalar subqueries
-        j = cum.withColumns({"P": sc.select(F.sum("pos")).scalar(), "N": sc.select(F.sum("neg")).scalar()})
+        tot = cum.groupBy(*[F.col(c).alias(f"__t_{c}") for c in group]).agg(F.max("cpos").alias("P"), F.max("cneg").alias("N"))
+        same = F.lit(True)
+        for c in group:
+            same = same & F.col(c).eqNullSafe(F.col(f"__t_{c}"))
+        j = cum.join(tot, same)
+    else:
+        j = cum.withColumns({"P": cum.select(F.max("cpos")).scalar(), "N": cum.select(F.max("cneg")).scalar()})
     return j.select(*group, F.col("score").alias("threshold"),
                     F.try_divide(F.col("cneg"), F.col("N")).alias("fpr"),
                     F.try_divide(F.col("cpos"), F.col("P")).alias("tpr"))
@@ -118,8 +129,8 @@ def auc(df: DataFrame, y: str | Column, score: str | Column, pos=1, group: Seque
     cum = running_sums(sc, [F.asc("score")], {"cneg": F.col("neg")}, group)
     below = F.col("cneg") - F.col("neg")
     return cum.groupBy(*group).agg(
-        F.try_divide(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))),
-                     F.sum("pos") * F.sum("neg")).alias("auc"))
+        F.try_divide(F.sum(F.col("pos").cast("double") * (below.cast("double") + 0.5 * F.col("neg"))),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
 
 
 def auc_ovo(df: DataFrame, y: str, probs: str, classes: Sequence[int]) -> DataFrame:

@@ -11,13 +11,6 @@ from pyspark.sql import functions as F
 from quarry.session import ensure_checkpoint_dir
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side is proven small (a ``limit`` probe counts at
-    most ``max_rows + 1`` rows); otherwise leave the join to a shuffle."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[str, Column],
                  group: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Inclusive running totals of ``sums`` along ``order`` (within ``group``), with no
@@ -45,9 +38,16 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[str, C
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # Without groups the offsets are one row per partition: a proven bound, broadcast.
     # With groups their number follows the data, so the planner (AQE) decides.
-    out = ranged.join(F.broadcast(offs) if not g else offs, ["__pid", *g])
+    # Groups meet null-safe: rows with a null group are a group like any other.
+    offs = offs.select(F.col("__pid").alias("__op"), *[F.col(c).alias(f"__g_{i}") for i, c in enumerate(g)],
+                       *[f"__o_{k}" for k in sums])
+    same = F.col("__pid") == F.col("__op")
+    for i, c in enumerate(g):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g_{i}"))
+    out = ranged.join(F.broadcast(offs) if not g else offs, same)
     out = out.withColumns({k: F.sum(f"__v_{k}").over(w) + F.col(f"__o_{k}") for k in sums})
-    return out.drop("__pid", *[f"__v_{k}" for k in sums], *[f"__o_{k}" for k in sums])
+    return out.drop("__pid", "__op", *[f"__g_{i}" for i in range(len(g))], *[f"__v_{k}" for k in sums],
+                    *[f"__o_{k}" for k in sums])
 
 
 def global_row_index(df: DataFrame, order: Sequence[Column | str], out: str = "idx",
@@ -59,9 +59,17 @@ def global_row_index(df: DataFrame, order: Sequence[Column | str], out: str = "i
 
 
 def encode_first_seen(df: DataFrame, key: str, order: Sequence[str], out: str = "index") -> DataFrame:
-    """J1 dictionary: distinct ``key`` -> dense 0-based index in first-seen order."""
-    first = df.groupBy(key).agg(F.min(F.struct(*order)).alias("__first"))
-    return global_row_index(first, [F.col("__first"), F.col(key)], out).drop("__first")
+    """J1 dictionary: distinct ``key`` -> dense 0-based index in first-seen order.
+
+    The least leading order column per key comes from a hash aggregate over all rows; only
+    the rows that reach it are compared on the rest of the order."""
+    head, rest = order[0], list(order[1:])
+    least = df.groupBy(key).agg(F.min(head).alias("__head"))
+    if rest:
+        ties = df.join(least.withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key")) & F.col(head).eqNullSafe(F.col("__head")))
+        least = ties.groupBy(key, "__head").agg(F.min(F.struct(*rest)).alias("__rest"))
+    return (global_row_index(least, ["__head", *(["__rest"] if rest else []), key], out)
+            .select(key, out))
 
 
 def encode_sorted(df: DataFrame, key: str, out: str = "index") -> DataFrame:

@@ -17,9 +17,16 @@ def seeded_key(id_col: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
-    """Spark's weighted random split (depends on the partitioning)."""
-    return df.randomSplit(list(weights), seed)
+def random_split(df: DataFrame, id_col: str, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
+    """Weighted random split by a seeded hash of ``id_col``: each row falls into one part,
+    whatever the partitioning and however often the parts are computed."""
+    h = F.conv(F.substring(seeded_key(id_col, seed), 1, 8), 16, 10).cast("double") / float(16 ** 8)
+    marked, total, low, parts = df.withColumn("__h", h), float(sum(weights)), 0.0, []
+    for i, w in enumerate(weights):
+        high = 1.0 if i == len(weights) - 1 else low + w / total
+        parts.append(marked.where((F.col("__h") >= low) & (F.col("__h") < high)).drop("__h"))
+        low = high
+    return parts
 
 
 def shuffled_split(df: DataFrame, id_col: str, test_size: float = 0.25, seed: int = 42,
@@ -47,6 +54,11 @@ def chronological_split(df: DataFrame, order: Sequence[str], train_share: float
     return idx.withColumn(out, F.col("__i") < n_train).drop("__i")
 
 
+def date_split(df: DataFrame, date: str, first_test: str, out: str = "is_train") -> DataFrame:
+    """Rows before a date train, the rest test; rows without a date test."""
+    return df.withColumn(out, F.coalesce(F.col(date) < F.lit(first_test).cast("date"), F.lit(False)))
+
+
 def last_n_split(df: DataFrame, order: Sequence[str], n_test: int, out: str = "is_test") -> DataFrame:
     """The last ``n_test`` rows in ``order`` are the test set."""
     n = df.count()

@@ -10,6 +10,7 @@ map keyed by node id, so no join is needed.  Ensembles use Spark ML.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -64,6 +65,12 @@ def variance_by(df: DataFrame, group: Sequence[str], y: str) -> DataFrame:
 
 # ------------------------------------------------------------------ scratch CART
 
+def goes_right(x: Column, numeric: Column, value: Column) -> Column:
+    """Whether a feature passes a split; null and unparsable features don't."""
+    hit = F.when(numeric, x.try_cast("double") >= value.try_cast("double")).otherwise(x == value)
+    return F.coalesce(hit, F.lit(False))
+
+
 @dataclass
 class Node:
     node_id: int
@@ -106,27 +113,32 @@ class Tree:
         walk(1, 0)
         return out
 
-    def route(self, x: Column, node: str = "node") -> Column:
-        """Leaf id reached by a row whose features are the string array ``x``."""
-        internal = {i: n for i, n in self.nodes.items() if not n.is_leaf}
-        cur = F.lit(1).cast("long")
+    def _walk(self, x: Column) -> tuple[Column, list[int]]:
+        """Place (in the sorted node ids) of the leaf a row reaches: one fold over the levels
+        of a constant node array, so the expression's size doesn't grow with the depth."""
+        ids = sorted(self.nodes)
+        at = {i: p for p, i in enumerate(ids)}
+        rows = [{"f": (n.feature or 0) + 1, "num": n.numeric, "v": n.value,
+                 "l": at.get(2 * i, p), "r": at.get(2 * i + 1, p)} if not n.is_leaf else {"f": 1, "num": True, "v": None, "l": p, "r": p}
+                for p, (i, n) in enumerate((i, self.nodes[i]) for i in ids)]
+        table = F.from_json(F.lit(json.dumps(rows)), "array<struct<f:int,num:boolean,v:string,l:int,r:int>>")
         depth = max((n.depth for n in self.nodes.values()), default=1)
-        if not internal:
-            return cur
-        m = F.create_map(*[v for i, n in internal.items() for v in (
-            F.lit(i), F.struct(F.lit(n.feature + 1).alias("f"), F.lit(n.numeric).alias("num"),
-                               F.lit(n.value).alias("v")))])
-        for _ in range(depth):
-            st = F.try_element_at(m, cur)
-            xv = F.element_at(x, st["f"])
-            right = F.when(st["num"], xv.try_cast("double") >= st["v"].try_cast("double")).otherwise(xv == st["v"])
-            cur = F.when(st.isNull(), cur).otherwise(2 * cur + right.cast("long"))
-        return cur
+
+        def go(cur: Column, _: Column) -> Column:
+            node = F.get(table, cur)
+            return F.when(goes_right(F.get(x, node["f"] - 1), node["num"], node["v"]), node["r"]).otherwise(node["l"])
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), go), ids
+
+    def route(self, x: Column) -> Column:
+        """Leaf id reached by a row whose features are the string array ``x``.  A null or
+        unparsable feature goes left, as it does in training."""
+        place, ids = self._walk(x)
+        return F.get(F.from_json(F.lit(json.dumps(ids)), "array<bigint>"), place)
 
     def predict(self, x: Column) -> Column:
-        leaves = F.create_map(*[v for i, n in self.nodes.items() if n.is_leaf
-                                for v in (F.lit(i), F.lit(float(n.prediction)))])
-        return F.element_at(leaves, self.route(x))
+        place, ids = self._walk(x)
+        return F.get(F.from_json(F.lit(json.dumps([float(self.nodes[i].prediction) for i in ids])), "array<double>"), place)
 
 
 def _stats_cols(task: str, y: Column, classes: Sequence) -> list[Column]:
@@ -183,20 +195,22 @@ def train_tree(df: DataFrame, x: str, y: str, kinds: Sequence[str], max_depth: i
         cat_idx = [i for i, k in enumerate(kinds) if k == "cat"]
         cands = []
         if num_idx:
-            cn = (long.where(F.col("f").isin(num_idx)).withColumn("xn", F.col("xs").cast("double"))
+            cn = (long.where(F.col("f").isin(num_idx)).withColumn("xn", F.col("xs").try_cast("double"))
                   .groupBy("node", "f", "xn").agg(*_stats_cols(task, yy, classes)))
             rs = running_sums(cn, [F.desc("xn")], {f"r{i}": F.col(f"k{i}") for i in range(m)}, ["node", "f"])
+            rs = rs.where(F.col("xn").isNotNull())  # no split at a missing value; its rows stay on the left
             cands.append(rs.select("node", "f", F.lit(True).alias("num"), F.col("xn").alias("vn"),
                                    F.col("xn").cast("string").alias("vs"), *[f"r{i}" for i in range(m)]))
         if cat_idx:
             cc = (long.where(F.col("f").isin(cat_idx)).groupBy("node", "f", "xs")
                   .agg(*_stats_cols(task, yy, classes)))
+            cc = cc.where(F.col("xs").isNotNull())
             cands.append(cc.select("node", "f", F.lit(False).alias("num"), F.lit(None).cast("double").alias("vn"),
                                    F.col("xs").alias("vs"), *[F.col(f"k{i}").alias(f"r{i}") for i in range(m)]))
         cand = cands[0] if len(cands) == 1 else cands[0].unionByName(cands[1])
-        tmap = {i: F.create_map(*[v for nd, st in tot_rows.items() for v in (F.lit(nd), F.lit(float(st[i])))])
-                for i in range(m)}
-        cand = cand.withColumns({f"l{i}": F.element_at(tmap[i], F.col("node")) - F.col(f"r{i}") for i in range(m)})
+        totals = tot.select(F.col("node").alias("__n"), *[F.col(f"k{i}").alias(f"t{i}") for i in range(m)])
+        cand = cand.join(totals, F.col("node") == F.col("__n"))
+        cand = cand.withColumns({f"l{i}": F.col(f"t{i}") - F.col(f"r{i}") for i in range(m)})
         nl, sl = _score(task, criterion, "l", m)
         nr, sr = _score(task, criterion, "r", m)
         score = F.round((sl + sr) / (nl + nr), 12)
@@ -226,14 +240,13 @@ def train_tree(df: DataFrame, x: str, y: str, kinds: Sequence[str], max_depth: i
                     nxt[child] = d + 1
         if not nxt:
             break
-        m_route = F.create_map(*[v for nd, (f, num, vs) in routes.items() for v in (
-            F.lit(nd), F.struct(F.lit(f + 1).alias("f"), F.lit(num).alias("num"), F.lit(vs).alias("v")))])
-        st = F.element_at(m_route, F.col("node"))
-        xv = F.element_at(F.col("__x"), st["f"])
-        right = F.when(st["num"], xv.cast("double") >= st["v"].cast("double")).otherwise(xv == st["v"])
-        rows = (rows.where(F.col("node").isin(list(routes)))
-                .withColumn("node", 2 * F.col("node") + right.cast("long"))
-                .where(F.col("node").isin(list(nxt))))
+        moves = spark.createDataFrame([(nd, f, num, vs, 2 * nd in nxt, 2 * nd + 1 in nxt) for nd, (f, num, vs) in routes.items()],
+                                      "__m long, __f int, __num boolean, __v string, __l boolean, __r boolean")
+        # at most one row per node of this level
+        moved = rows.join(F.broadcast(moves), F.col("node") == F.col("__m"))
+        right = goes_right(F.get("__x", F.col("__f")), F.col("__num"), F.col("__v"))
+        rows = (moved.where(F.when(right, F.col("__r")).otherwise(F.col("__l")))
+                .select("__x", "__y", (2 * F.col("node") + right.cast("long")).alias("node")))
         rows = rows.checkpoint(eager=True)  # cut lineage each level; survives executor loss
         frontier = nxt
     return tree
@@ -286,7 +299,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     n = df.select(F.count(F.lit(1))).scalar()
     k = df.select(F.count_distinct(label)).scalar()
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
-    return df.join(F.broadcast(c), label).withColumn(out, n / (k * F.col("__nc"))).drop("__nc")
+    return df.join(c, label).withColumn(out, n / (k * F.col("__nc"))).drop("__nc")
 
 
 def importances(model, names: Sequence[str]) -> list[tuple[str, float]]:

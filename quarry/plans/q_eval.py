@@ -12,18 +12,13 @@ from quarry.plans.q_relational import _ASSIGN_SQL, _assigned
 from quarry.sources import fixtures as fx
 from quarry.sources.tables import table
 
-_SCORED_SQL = """scored AS (SELECT row_id, label, l_discount_score AS score,
-  CAST(l_discount_score >= 0.5 AS INTEGER) AS pred FROM (
-  SELECT c.row_id, c.label, l.l_discount * 10 AS l_discount_score FROM clicks c JOIN lineitem l
-    ON c.l_orderkey = l.l_orderkey AND c.l_linenumber = l.l_linenumber AND c.l_partkey = l.l_partkey
-   AND c.l_suppkey = l.l_suppkey AND c.l_extendedprice = l.l_extendedprice AND c.l_quantity = l.l_quantity))"""
+_SCORED_SQL = """scored AS (SELECT row_id, label, l_discount * 10 AS score,
+  CAST(l_discount * 10 >= 0.5 AS INTEGER) AS pred FROM clicks)"""
 
 
 def _scored(spark, sf_dir):
     """Click rows with a tie-heavy score (discount x 10) and a 0.5-threshold prediction."""
-    c = fx.clicks(spark, sf_dir)
-    li = table(spark, sf_dir, "lineitem").select(*fx.ROW_KEY, "l_discount")
-    s = c.join(li, list(fx.ROW_KEY)).select("row_id", "label", (F.col("l_discount") * 10).alias("score"))
+    s = fx.clicks(spark, sf_dir, "l_discount").select("row_id", "label", (F.col("l_discount") * 10).alias("score"))
     return s.withColumn("pred", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -183,6 +178,11 @@ def r3_chronological_split(spark, sf_dir):
     return sp.chronological_split(c, ["l_shipdate", *fx.ROW_KEY], 0.9).select("row_id", "is_train")
 
 
+@register("r4_date_split", fx.with_sql(["prices"], "SELECT date, close, date < DATE '1998-01-01' AS is_train FROM prices"))
+def r4_date_split(spark, sf_dir):
+    return sp.date_split(fx.prices(spark, sf_dir).select("date", "close"), "date", "1998-01-01")
+
+
 @register("r5_last_n_split", fx.with_sql(["prices"], """
 SELECT date, (row_number() OVER (ORDER BY date) - 1) >= (SELECT count(*) FROM prices) - 30 AS is_test FROM prices"""))
 def r5_last_n_split(spark, sf_dir):
@@ -222,20 +222,22 @@ def r11_random_baseline_auc(spark, sf_dir):
     b = sp.random_baseline(fx.clicks(spark, sf_dir).select("row_id", "label"), "row_id", "label", 42)
     a = me.auc(b, "label", "pred")
     n = b.agg(F.count_if(F.col("pred") == 1).alias("n_selected"))
-    return rounded(n.join(a, how="cross"), {"auc": 6})  # two one-row results side by side
+    return rounded(a.select(n.scalar().alias("n_selected"), "auc"), {"auc": 6})
 
 
-@register("r1_random_split")
+@register("r1_random_split", _sql("""
+SELECT row_id, label, CASE WHEN CAST('0x' || substr(md5(row_id || '42'), 1, 8) AS BIGINT) / 4294967296.0 < 0.7
+                           THEN 'train' ELSE 'test' END AS part FROM clicks"""))
 def r1_random_split(spark, sf_dir):
-    """Seeded 70/30 random split (partition-dependent, so rows-only)."""
-    tr, te = sp.random_split(fx.clicks(spark, sf_dir).select("row_id", "label"), [0.7, 0.3], 42)
+    """Seeded 70/30 random split."""
+    tr, te = sp.random_split(fx.clicks(spark, sf_dir).select("row_id", "label"), "row_id", [0.7, 0.3], 42)
     return tr.withColumn("part", F.lit("train")).unionByName(te.withColumn("part", F.lit("test")))
 
 
-@register("e9_spark_auc_evaluator")
+@register("e9_spark_auc_evaluator", sql_rounded(_sql(_AUC_SQL_TAIL.format(src="scored")), {"auc": 6}))
 def e9_spark_auc_evaluator(spark, sf_dir):
-    """Spark's BinaryClassificationEvaluator on the same scores as e6 (rows-only)."""
+    """Spark's BinaryClassificationEvaluator on the same scores as e6."""
     from pyspark.ml.functions import array_to_vector
     s = _scored(spark, sf_dir).select(F.col("label").cast("double").alias("label"),
                                       array_to_vector(F.array(-F.col("score"), F.col("score"))).alias("rawPrediction"))
-    return spark.createDataFrame([(float(me.spark_auc(s)),)], "auc double")
+    return rounded(spark.createDataFrame([(float(me.spark_auc(s)),)], "auc double"), {"auc": 6})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from quarry.operators import series
 from quarry.plans.catalog import register, rounded, sql_rounded
@@ -41,6 +40,3 @@ def w1_prev_day_values(spark, sf_dir):
 @register("s_daily_prices", fx.with_sql(["prices"], "SELECT * FROM prices"))
 def s_daily_prices(spark, sf_dir):
     return fx.prices(spark, sf_dir)
-
-
-_ = F  # keep import for extensions

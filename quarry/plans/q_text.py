@@ -142,7 +142,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     f"CAST(c_mktsegment = '{s}' AS INTEGER) AS c_mktsegment_{s}" for s in SEGMENTS) + " FROM customer")
 def x8_dummies(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return en.dummies(c, ["c_mktsegment"])
+    return en.dummies(c, ["c_mktsegment"], max_categories=50)
 
 
 @register("x9_f16_dict_vectoriser", fx.with_sql(["clicks"], """
@@ -188,16 +188,21 @@ def x12_pca_whiten(spark, sf_dir):
     return out.select("vec_id", "label", "pca")
 
 
-_BOW_CTES = f"""toks AS (SELECT doc_id, unnest({tx.word_tokens_sql('text')}) AS term FROM documents),
+def _bow_ctes(limit: str) -> str:
+    return f"""toks AS (SELECT doc_id, unnest({tx.word_tokens_sql('text')}) AS term FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks
        WHERE term NOT IN (SELECT w FROM (VALUES {_STOP_VALUES}) AS s(w)) GROUP BY 1, 2),
 st AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY 1),
 vocab AS (SELECT term, df FROM st WHERE df >= 2 AND df <= (SELECT count(*) FROM documents) * 0.5
-          ORDER BY total DESC, term LIMIT 500),
+          {limit}),
 vi AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS index FROM vocab)"""
 
 
-def _bow_parts(spark, sf_dir):
+_BOW_CTES = _bow_ctes("")  # every term within the document-frequency bounds
+_TOP_TERMS = 500           # X13's max_features
+
+
+def _bow_parts(spark, sf_dir, max_features=None):
     d = table(spark, sf_dir, "documents")
     toks = d.select("doc_id", F.explode(tx.word_tokens(F.col("text"))).alias("token"))
     toks = tx.remove_listed(toks, _stop_df(spark))
@@ -205,15 +210,15 @@ def _bow_parts(spark, sf_dir):
     # fit and every transform, so they are materialised once in the shared checkpoint folder
     tf = en.term_counts(toks).checkpoint(eager=True)
     n_docs = d.select(F.count(F.lit(1))).scalar()
-    vocab = en.fit_vocabulary(tf, n_docs, min_df=2, max_df=0.5, max_features=500)
+    vocab = en.fit_vocabulary(tf, n_docs, min_df=2, max_df=0.5, max_features=max_features)
     return tf, vocab, n_docs
 
 
 @register("x13_bag_of_words", fx.with_sql([], "SELECT doc_id, term, index, tf FROM tf JOIN vi USING (term)",
-                                          _BOW_CTES))
+                                          _bow_ctes(f"ORDER BY total DESC, term LIMIT {_TOP_TERMS}")))
 def x13_bag_of_words(spark, sf_dir):
-    tf, vocab, _ = _bow_parts(spark, sf_dir)
-    return en.bag_of_words(tf, vocab, max_vocab_rows=500).select("doc_id", "term", "index", "tf")
+    tf, vocab, _ = _bow_parts(spark, sf_dir, max_features=_TOP_TERMS)
+    return en.bag_of_words(tf, vocab).select("doc_id", "term", "index", "tf")
 
 
 @register("x14_tfidf", sql_rounded(fx.with_sql([], """
@@ -222,7 +227,5 @@ SELECT doc_id, term, index, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w
   FROM tf JOIN vi USING (term))""", _BOW_CTES), {"weight": 6}))
 def x14_tfidf(spark, sf_dir):
     tf, vocab, n = _bow_parts(spark, sf_dir)
-    return rounded(en.tfidf(tf, vocab, n, max_vocab_rows=500), {"weight": 6})
-
+    return rounded(en.tfidf(tf, vocab, n), {"weight": 6})
 
-_ = vx

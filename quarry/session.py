@@ -35,11 +35,14 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private one created.
+    Only a local session (tests, the bench) may go without one and gets a private folder;
+    on a cluster a machine-local folder would lose files, so the setting is required.
     """
     sc = spark.sparkContext
     path = sc.getConf().get(CHECKPOINT_KEY, None) or spark.conf.get(CHECKPOINT_KEY, None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, path)
     # SparkContext.setCheckpointDir is what DataFrame.checkpoint() uses.

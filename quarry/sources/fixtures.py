@@ -33,8 +33,9 @@ _ROW_ID_SQL = ("concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS
                "CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR))")
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CTR-style log: one row per lineitem with five categorical columns and a 0/1 label."""
+def clicks(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """CTR-style log: one row per lineitem with five categorical columns and a 0/1 label;
+    ``more`` lineitem columns follow."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
@@ -46,7 +47,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             row_id_col().alias("row_id"), "l_shipdate", *ROW_KEY,
             (F.col("l_returnflag") == "R").cast("int").alias("label"),
-            "l_linestatus", "o_orderpriority", "p_brand", "p_type", "c_mktsegment",
+            "l_linestatus", "o_orderpriority", "p_brand", "p_type", "c_mktsegment", *more,
         )
     )
 
@@ -55,12 +56,16 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, movie_id, rating 1..5); the last write by (o_orderdate, row key) wins."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    order = F.struct("o_orderdate", *ROW_KEY)
-    return (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("movie_id"))
-        .agg(F.max_by(F.ceil(F.col("l_quantity") / 10).cast("int"), order).alias("rating"))
-    )
+    joined = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("movie_id"), "o_orderdate", *ROW_KEY)
+    # hash aggregate for the last date; the row key is compared only among a pair's lines of it
+    last = joined.groupBy("user_id", "movie_id").agg(F.max("o_orderdate").alias("__last"), F.count(F.lit(1)).alias("__n"),
+                                                     F.max("l_quantity").alias("__q"))
+    once = last.where("__n = 1").select("user_id", "movie_id", F.col("__q").alias("q"))
+    many = last.where("__n > 1").select(F.col("user_id").alias("__u"), F.col("movie_id").alias("__m"), "__last")
+    ends = joined.join(many, (F.col("user_id") == F.col("__u")) & (F.col("movie_id") == F.col("__m")) & (F.col("o_orderdate") == F.col("__last")))
+    tied = ends.groupBy("user_id", "movie_id").agg(F.max_by("l_quantity", F.struct(*ROW_KEY)).alias("q"))
+    return once.unionByName(tied).select("user_id", "movie_id", F.ceil(F.col("q") / 10).cast("int").alias("rating"))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +149,7 @@ SQL: dict[str, str] = {
     "clicks": f"""clicks AS (
   SELECT {_ROW_ID_SQL} AS row_id, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
          l_extendedprice, l_quantity, CAST(l_returnflag = 'R' AS INTEGER) AS label,
-         l_linestatus, o_orderpriority, p_brand, p_type, c_mktsegment
+         l_linestatus, o_orderpriority, p_brand, p_type, c_mktsegment, l_discount
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey)""",
     "ratings": f"""ratings AS (

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,15 @@ STATE_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType()),
 
 
 def latest_weights(spark: SparkSession, state_path: str, dim: int) -> tuple[int, np.ndarray]:
+    """The last saved weights, or zeros if the state folder doesn't exist yet.  Any other
+    failure to read the state is raised: training must not start anew unnoticed."""
     try:
         st = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-        r = st.orderBy(F.desc("batch_id")).limit(1).collect()
-    except Exception:  # no state yet
-        r = []
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1, np.zeros(dim)
+    r = st.orderBy(F.desc("batch_id")).limit(1).collect()
     if not r:
         return -1, np.zeros(dim)
     return int(r[0].batch_id), np.asarray(r[0].w, dtype=float)
