@@ -28,7 +28,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.words import Words, blocks
@@ -37,7 +37,8 @@ from quarry.session import ensure_checkpoint_dir
 SKETCH_BITS, CHUNKS = 20, 256
 FLUSH = 1 << 13     # lines worked on at a time
 HOT = 200_000       # occurrences of a word per block of its group
-WITNESSES = 128     # candidates per line and word in the first round
+WITNESSES = 16      # candidates per line and word in the first round
+BEST = 2            # of them that are verified first
 ONE = np.uint64(1)
 WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on 51
 
@@ -199,8 +200,10 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
     return narrow.mapInArrow(run, "key bigint, n int, pos int, sid bigint, parity bigint, ord bigint")
 
 
-def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates (later sid, earlier sid, cut) among rows sorted by key and n.  ``cut`` has
+def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
+         only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates (later sid, earlier sid, parity difference, cut) among rows sorted by key
+    and n; with ``only`` (a filter over sids) those of these later lines.  ``cut`` has
     the rows of lines with as many candidates under a word as the ``limit`` given, or more."""
     num, den = share.numerator, share.denominator
     key, n = rows["key"], rows["n"].astype(np.int64)
@@ -218,7 +221,8 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None) -> tup
         ok = apart <= both - 2 * need
         i, j, apart = i[ok], j[ok], apart[ok]
         late = (rows["ord"][i] > rows["ord"][j]) | ((rows["ord"][i] == rows["ord"][j]) & (rows["sid"][i] > rows["sid"][j]))
-        out.append(np.stack([np.where(late, i, j), np.where(late, j, i), apart], axis=1))
+        new = np.stack([np.where(late, i, j), np.where(late, j, i), apart], axis=1)
+        out.append(new if only is None else new[only[place(rows["sid"][new[:, 0]], SKETCH_BITS)]])
 
     alive = np.arange(len(key))
     step = 1
@@ -235,7 +239,7 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None) -> tup
         found = best(found, key, limit)
         at, many = np.unique(found[:, 0], return_counts=True)
         cut = at[many >= limit]  # there may be more
-    return rows["sid"][found[:, 0]], rows["sid"][found[:, 1]], cut
+    return rows["sid"][found[:, 0]], rows["sid"][found[:, 1]], found[:, 2], cut
 
 
 def best(found: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
@@ -246,8 +250,8 @@ def best(found: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
     return found[np.arange(len(found)) - start < limit]
 
 
-def candidates(rows: DataFrame, share: Fraction, limit: int | None) -> DataFrame:
-    """(late, early, word) pairs of sets; where the candidates of a line were cut, a row names
+def candidates(rows: DataFrame, share: Fraction, limit: int | None, only=None) -> DataFrame:
+    """(late, early, apart, word): pairs of sets and how far their parities differ; where the candidates of a line were cut, a row names
     the word instead of the earlier set."""
     names = ["key", "n", "pos", "sid", "parity", "ord"]
 
@@ -267,14 +271,15 @@ def candidates(rows: DataFrame, share: Fraction, limit: int | None) -> DataFrame
             group = {c: v[keep] for c, v in group.items()}
             one = np.concatenate([[True], (np.diff(group["key"]) != 0) | (np.diff(group["sid"]) != 0)])
             group = {c: v[one] for c, v in group.items()}
-            late, early, cut = meet(group, share, limit)
+            late, early, apart, cut = meet(group, share, limit, None if only is None else only.value)
+            none = pa.nulls(len(cut), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), pa.nulls(len(cut), pa.int64())]),
-                 pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "word"])
+                [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), none]), pa.concat_arrays([pa.array(apart), none]),
+                 pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "apart", "word"])
             held, size = [{c: v[end:] for c, v in rows.items()}], size - end
 
     met = rows.repartition("key").sortWithinPartitions("key", "n")
-    return met.mapInArrow(run, "late bigint, early bigint, word bigint").distinct()
+    return met.mapInArrow(run, "late bigint, early bigint, apart bigint, word bigint").distinct()
 
 
 def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
@@ -292,10 +297,8 @@ def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
     return narrow.mapInArrow(run, "sid bigint, words array<bigint>").dropDuplicates(["sid"])
 
 
-def verify(narrow: DataFrame, pairs: DataFrame, share: Fraction, broadcast: Callable, bits: int = 22) -> DataFrame:
-    """Sets (late) with an earlier one at the given Jaccard similarity."""
-    ids = pairs.select(F.explode(F.array("late", "early")).alias("sid")).distinct()
-    sets = sets_of(narrow, broadcast(members(ids, bits)), bits).checkpoint()
+def matched(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """Lines (late) with an earlier one at the given Jaccard similarity, among (late, early)."""
     both = (pairs.join(sets.select(F.col("sid").alias("late"), F.col("words").alias("lw")), "late")
             .join(sets.select(F.col("sid").alias("early"), F.col("words").alias("ew")), "early"))
     shared = F.size(F.array_intersect("lw", "ew"))
@@ -303,6 +306,18 @@ def verify(narrow: DataFrame, pairs: DataFrame, share: Fraction, broadcast: Call
     return both.where(same).select("late").distinct()
 
 
+def verify(narrow: DataFrame, pairs: DataFrame, share: Fraction, broadcast: Callable, bits: int = 22) -> DataFrame:
+    """``matched`` over (late, early, apart): the ``BEST`` candidates of each line by parity
+    first, the others only for lines that these left without a match."""
+    ids = pairs.select(F.explode(F.array("late", "early")).alias("sid")).distinct()
+    sets = sets_of(narrow, broadcast(members(ids, bits)), bits).checkpoint()
+    rank = F.row_number().over(Window.partitionBy("late").orderBy("apart", "early"))
+    ranked = pairs.withColumn("rank", rank).checkpoint()
+    first = matched(ranked.where(F.col("rank") <= BEST).select("late", "early"), sets, share).checkpoint()
+    left = ranked.where(F.col("rank") > BEST).join(first, "late", "left_anti").select("late", "early")
+    return first.unionByName(matched(left, sets, share))
+
+
 def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc``, text_key (hash of the text), n_lines, n_removed and kept (numbers, from 0, of
     the lines with words that stay) for every input row.
@@ -321,13 +336,13 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     seen = scan(narrow).checkpoint()
     counts = broadcast(total(seen, SKETCH_BITS))
     found = candidates(prefixes(narrow, counts, share), share, WITNESSES).checkpoint()
-    pairs = found.where("early IS NOT NULL").select("late", "early")
+    pairs = found.where("early IS NOT NULL").select("late", "early", "apart")
     later = verify(narrow, pairs, share, broadcast).checkpoint()
     open_ = found.where("early IS NULL").join(later, "late", "left_anti").select("late", "word").checkpoint()
     if not open_.isEmpty():  # lines whose best candidates failed: all that meet them under the words that were cut
-        words = broadcast(members(open_.select("word"), SKETCH_BITS))
-        again = candidates(prefixes(narrow, counts, share, words), share, None).select("late", "early")
-        again = again.join(open_.select("late"), "late", "left_semi").join(pairs, ["late", "early"], "left_anti").checkpoint()
+        words, only = (broadcast(members(open_.select(c), SKETCH_BITS)) for c in ("word", "late"))
+        again = candidates(prefixes(narrow, counts, share, words), share, None, only).select("late", "early", "apart")
+        again = again.join(open_.select("late"), "late", "left_semi").join(pairs.select("late", "early"), ["late", "early"], "left_anti").checkpoint()
         later = later.unionByName(verify(narrow, again, share, broadcast)).distinct()
     lines = seen.where("line IS NOT NULL")
     first = lines.groupBy("sid").agg(F.min(F.struct("d", "line", "tk")).alias("f"))
