@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.relate import running_sums
+
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A1: exact number of distinct values per column (one row ``n_<col>``)."""
@@ -48,29 +50,32 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
              accuracy: int = 100_000) -> DataFrame:
     """Long form (column, count, mean, std, min, p25, p50, p75, max).
 
-    ``std`` is the sample std and quartiles interpolate linearly (pandas).  With
-    ``exact`` the quartiles use ``percentile`` (memory grows with the column's
-    distinct values); ``exact=False`` uses mergeable ``percentile_approx`` sketches.
+    ``std`` is the sample std and quartiles interpolate linearly (pandas).  ``exact``
+    quartiles come from the counts of each distinct value and their running sums, which are
+    spread over many tasks; ``exact=False`` uses mergeable ``percentile_approx`` sketches.
     """
-    def stats(c: str) -> list[Column]:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
-        return [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), q, F.max(x)]
-
-    row = df.agg(*[e.alias(f"{c}__{i}") for c in cols for i, e in enumerate(stats(c))])
-    parts = [
-        row.select(F.lit(c).alias("column"), F.col(f"{c}__0").alias("count"),
-                   F.col(f"{c}__1").alias("mean"), F.col(f"{c}__2").alias("std"),
-                   F.col(f"{c}__3").alias("min"), F.col(f"{c}__4")[0].cast("double").alias("p25"),
-                   F.col(f"{c}__4")[1].cast("double").alias("p50"),
-                   F.col(f"{c}__4")[2].cast("double").alias("p75"), F.col(f"{c}__5").alias("max"))
-        for c in cols
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("v"))
+            .select("v.*").where("x IS NOT NULL"))
+    stats = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                       F.min("x").alias("min"), F.max("x").alias("max"),
+                                       *([] if exact else [F.percentile_approx("x", [0.25, 0.5, 0.75], accuracy).alias("q")]))
+    names = ["column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    if not exact:
+        return stats.select("*", *[F.col("q")[i].alias(p) for i, p in enumerate(("p25", "p50", "p75"))]).select(*names)
+    values = long.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_sums(values, ["x"], {"cum": F.col("n")}, group=["column"])
+    joined = cum.join(stats, "column")  # one row per column on the right
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+    def at(place: Column) -> Column:
+        """The value at a 0-based place of the sorted column."""
+        return F.min(F.when(F.col("cum") > place, F.col("x")))
+
+    place = {p: (F.col("count") - 1) * q for p, q in shares.items()}
+    found = joined.groupBy("column", "count", "mean", "std", "min", "max").agg(
+        *[at(F.floor(v)).alias(f"{p}_lo") for p, v in place.items()], *[at(F.ceil(v)).alias(f"{p}_hi") for p, v in place.items()])
+    return found.select("*", *[(F.col(f"{p}_lo") + (F.col(f"{p}_hi") - F.col(f"{p}_lo")) * (v - F.floor(v))).alias(p)
+                               for p, v in place.items()]).select(*names)
 
 
 def positive_counts(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -55,7 +55,7 @@ def a6_j2_class_distribution_named(spark, sf_dir):
             .select("n_name", "n"))
 
 
-_DESCRIBE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+_DESCRIBE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _DESCRIBE_SPEC = {"mean": 4, "std": 4, "min": 4, "p25": 4, "p50": 4, "p75": 4, "max": 4}
 
 
