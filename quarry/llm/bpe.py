@@ -36,8 +36,8 @@ STABLE = "\x00-՗֑-ۿ‐-⁤ぁ-ヿ一-鿯가-힣"
 WINDOW = 16            # bytes that decide on a cut
 CUT_BITS = 7           # a chunk has about 2^7 words
 MIN_CHUNK, MAX_CHUNK = 64, 8192
-PRETOKENS = 200_000    # entries of each of a worker's two generations
-CHUNKS = 20_000         # chunks kept per worker; the table starts anew beyond it
+PRETOKENS = 120_000    # entries of each of a worker's two generations
+CHUNKS = 6_000         # chunks kept per worker; the table starts anew beyond it
 
 _GEAR = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
@@ -294,6 +294,7 @@ def encode(docs: DataFrame, tokenizer_path: str, doc: str = "doc_id", text: str
             offsets = (np.cumsum([0, *map(len, coded)]) // 4).astype(np.int32)
             values = np.frombuffer(b"".join(coded), np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, values)], names=["k", "ids"])
+        own.chunks.clear()  # the worker may go on with other work
 
     narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
     return narrow.mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", doc)
