@@ -133,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
     and ``min_share`` of them, have it, ``min_lift`` times as often as the others, and the
     log-likelihood ratio of its counts is ``min_g2`` or more (far beyond chance, as copies
     among the examples raise it); the ``max_terms`` with the highest ratios are kept.  Null labels are left out;
-    of differing labels of a document the majority holds, toxic on a tie.  Without
+    of differing labels of a document the majority holds, toxic on a tie; of the rows of an
+    id the text with the least hash is the example.  Without
     examples the model scores 0."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -142,8 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
               .where(F.pmod(F.crc32(F.col("k").cast("string").cast("binary")), F.lit(held_out_mod)) != held_out_rest)
               .orderBy(F.xxhash64("k"), "k").limit(max_examples))
     sample = (docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
-              .join(F.broadcast(chosen), "k")  # at most max_examples narrow rows
-              .select("k", "t", "y").checkpoint())
+              .join(F.broadcast(chosen), "k")
+              .groupBy("k").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one"), F.min("y").alias("y"))
+              .select("k", "one.t", "y").checkpoint())  # one row per id, at most max_examples
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

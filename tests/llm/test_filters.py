@@ -74,6 +74,15 @@ def test_toxicity_edge_rows(spark):
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
 
 
+def test_a_labelled_id_on_many_rows_is_one_example(spark):
+    rows, labels = toxic_rows()
+    one = next(i for i, y in labels if y and zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = spark.createDataFrame([*rows, *([rows[one]] * 300), *((one, f"vilest other {i}") for i in range(50))], "doc_id bigint, text string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs.repartition(3), marks, min_docs=3, min_g2=5.0)
+    assert len(model.ids) == len(set(model.ids.tolist())) and one in model.ids.tolist()
+
+
 # --- quality --------------------------------------------------------------------------
 
 def base(text):
