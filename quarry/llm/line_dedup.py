@@ -12,7 +12,8 @@ is 0.8 or more the later one (by document id, then line) is removed.  The join:
   than the sets do) discard pairs as they meet;
 * survivors are verified on the whole sets.
 
-Equal sets are one row per task, however many lines hold them.  A word whose count makes
+Equal sets are one row per task, however many lines hold them, and one more whenever the
+task meets an earlier line of the set than before.  A word whose count makes
 its group hot is dealt to cells in which any two blocks of the group meet.  A line needs
 one earlier match only: it first verifies its few best candidates; only lines left without
 a match look at all of theirs, in a second round.
@@ -156,14 +157,15 @@ NAMES = ["d", "tk", "n_lines", "line", "sid", "chunk", "data"]
 
 
 def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFrame:
-    """Rows (key, n, pos, sid, parity, ord): the rarest words of every distinct set.  With
+    """Rows (key, n, pos, sid, parity, ord): the rarest words of every distinct set, again
+    where a task meets the set at a smaller place: the least ``ord`` is the set's first.  With
     ``wanted`` (a filter over words) only rows of these words."""
     num, den = share.numerator, share.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = counts.value
         level = np.minimum(63, (4 * np.log2(np.maximum(sketch, 1))) // 2).astype(np.uint64)
-        done = np.empty(0, np.int64)
+        done, least = np.empty(0, np.int64), np.empty(0, np.int64)  # sets and the least place given for each
         for b in batches:
             d = b.column(0).to_numpy(zero_copy_only=False)
             for x in lines_of(t.as_py() for t in b.column(2)):
@@ -171,8 +173,17 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                 by = np.lexsort((place_of, ids))
                 first = by[np.concatenate([[True], ids[by][1:] != ids[by][:-1]])]
                 fresh = np.zeros(len(ids), bool)
-                fresh[first] = ~np.isin(ids[first], done)
-                done = np.union1d(done, ids[first]) if len(done) < 1_000_000 else ids[first]
+                seen, known = np.searchsorted(done, ids[first]), np.isin(ids[first], done)
+                known[known] = place_of[first][known] >= least[seen[known]]  # rows may come in any order
+                fresh[first] = ~known
+                new = first[~known]
+                if len(done) < 1_000_000:
+                    keys, places = np.concatenate([done, ids[new]]), np.concatenate([least, place_of[new]])
+                    by = np.lexsort((places, keys))
+                    by = by[np.concatenate([[True], keys[by][1:] != keys[by][:-1]])[:len(by)]]
+                    done, least = keys[by], places[by]
+                else:
+                    done, least = ids[first], place_of[first]
                 line = np.repeat(np.arange(len(x.size), dtype=np.uint64), x.size)
                 low = x.words & np.uint64((1 << SKETCH_BITS) - 1)
                 keys = np.sort((line << np.uint64(40)) | (level[low] << np.uint64(34)) | (x.words & WORD))

@@ -145,6 +145,16 @@ def test_line_dedup(spark, monkeypatch, hot, witnesses):
         assert r.n_lines == (t or "").count("\n") + 1 and r.n_removed == len(worded) - len(r.kept)
 
 
+def test_line_dedup_over_blocks_in_descending_order(spark):
+    """The earliest line of a set counts, also if a task reads a later one in a block before."""
+    same, near = "a b c d e f g h i j", "a b c d e f g h i x"
+    filler = [(i, "\n".join(f"w{i}x{j}" for j in range(line_dedup.FLUSH + 1))) for i in (7, 5, 3)]
+    rows = [(8, same), filler[0], (6, near), filler[1], (4, same), filler[2], (2, same)]
+    got = {r.doc_id: r.kept for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()}
+    assert [got[i] for i in (2, 4, 6, 8)] == [[0], [], [], []]
+    assert all(len(got[i]) == line_dedup.FLUSH + 1 for i in (3, 5, 7))
+
+
 def test_line_removal_keeps_rows_and_columns(spark):
     docs = data.docs(spark)
     out = line_dedup.remove(docs)
