@@ -2,14 +2,16 @@
 index, distance-weighted votes, votes calibrated by leave-one-out frequencies.
 
 Terms are words, as ``^word$``, and the 5-character pieces of that (so inflected and joined
-forms share terms).  The terms that count are those much more frequent in toxic examples than
-in the others; a text's vector has (1 + ln tf) * idf of these, scaled to length 1.
+forms share terms).  The terms that count are all those much more frequent in toxic examples
+than in the others, however rare.  A text's vector has (1 + ln tf) * idf * g2 of these, scaled
+to length 1; g2, the log-likelihood ratio of a term's counts, keeps words that toxic examples
+have by chance from counting like insults.
 
 Examples are ordered so that similar ones are neighbours, and cut into blocks.  The index
 holds, for each term, its postings and its largest weight in each block.  A query sums
 these into an upper bound of the cosine of every block, visits blocks from the highest
 bound down, and stops when the bound falls below the k-th cosine found: the k nearest are
-exact.  The model's size is set by ``max_examples`` and ``max_terms``, whatever the corpus.
+exact.  The model's size is set by ``max_examples`` and their texts, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -41,14 +43,22 @@ def terms_of(word: str) -> set[str]:
     return {word, *(word[i:i + GRAM] for i in range(len(word) - GRAM + 1))}
 
 
+def spread(start: np.ndarray, ids: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries of all ``ids`` in a flat table, and the ``w`` of each."""
+    n = start[ids + 1] - start[ids]
+    return np.repeat(start[ids] - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(w, n)
+
+
 @dataclass
 class Model:
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray        # times g2
     start: np.ndarray      # of each term's postings
     example: np.ndarray    # postings: ascending example numbers of each term
     weight: np.ndarray
-    block_max: np.ndarray  # terms x blocks
+    block_start: np.ndarray  # of each term's blocks
+    block: np.ndarray      # ascending blocks of each term
+    block_max: np.ndarray  # its largest weight in each
     label: np.ndarray
     ids: np.ndarray        # document ids of the examples
     prior: float           # share of toxic examples among those without any term
@@ -76,17 +86,18 @@ class Model:
     def nearest(self, ids: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, exactly; the lower number wins
         ties.  ``skip`` is left out (an example must not find itself)."""
-        bound = w @ self.block_max[ids]
+        at, q = spread(self.block_start, ids, w)
+        bound = np.bincount(self.block[at], q * self.block_max[at], len(self.label) // BLOCK + 1)
+        at, q = spread(self.start, ids, w)
+        post, part = self.example[at], q * self.weight[at]
         order = np.argsort(-bound, kind="stable")
         total = np.zeros(len(self.label))
         best, cos, i, step = np.empty(0, np.int64), np.empty(0), 0, 8
         while i < len(order) and bound[order[i]] > 0 and (len(cos) < self.k or bound[order[i]] >= cos[-1] - 1e-12):
             visit = np.zeros(len(bound), bool)
             visit[order[i:i + step]] = True
-            for t, q in zip(ids.tolist(), w.tolist(), strict=True):
-                post = slice(self.start[t], self.start[t + 1])
-                take = visit[self.example[post] // BLOCK]
-                total[self.example[post][take]] += q * self.weight[post][take]
+            take = visit[post // BLOCK]
+            total += np.bincount(post[take], part[take], len(total))
             if skip >= 0:
                 total[skip] = 0
             found = np.flatnonzero(total)
@@ -125,14 +136,12 @@ def isotonic(hits: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest: int = 2, doc: str = "doc_id",
-        text: str = "text", label: str = "toxic", max_examples: int = 20_000, max_terms: int = 256,
-        min_docs: int = 6, min_share: float = 0.01, min_lift: float = 5.0,
-        min_g2: float = 50.0, k: int = 15) -> Model:
+        text: str = "text", label: str = "toxic", max_examples: int = 20_000, min_docs: int = 1,
+        min_lift: float = 5.0, min_g2: float = 0.0, k: int = 15) -> Model:
     """Model from at most ``max_examples`` labelled documents (the least by hash of their
-    id), none of them held out.  A term counts if at least ``min_docs`` toxic examples,
-    and ``min_share`` of them, have it, ``min_lift`` times as often as the others, and the
-    log-likelihood ratio of its counts is ``min_g2`` or more (far beyond chance, as copies
-    among the examples raise it); the ``max_terms`` with the highest ratios are kept.  Null labels are left out;
+    id), none of them held out.  Every term counts that toxic examples have ``min_lift``
+    times as often as the others.  ``min_docs`` (toxic examples with it) and ``min_g2`` (the
+    log-likelihood ratio of its counts) can ask for more.  Null labels are left out;
     of differing labels of a document the majority holds, toxic on a tie; of the rows of an
     id the text with the least hash is the example.  Without
     examples the model scores 0."""
@@ -173,12 +182,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     g2 = 2 * (surprise(F.col("a"), df * share) + surprise(F.col("b"), df * (1 - share)))
-    picked = (by.where((F.col("a") >= max(min_docs, min_share * n1)) & (lift >= min_lift) & (g2 >= min_g2))
-              .select("term", df.alias("df"), g2.alias("gain"))
-              .orderBy(F.desc("gain"), "term").limit(max_terms).collect())
+    picked = (by.where((F.col("a") >= min_docs) & (lift >= min_lift) & (g2 >= min_g2))
+              .select("term", df.alias("df"), g2.alias("gain")).orderBy("term").collect())  # terms of max_examples texts
     terms = {r.term: i for i, r in enumerate(picked)}
-    idf = np.array([np.log((1 + n1 + n0) / (1 + r.df)) + 1 for r in picked])
-    bare = Model(terms, idf, np.zeros(1, int), np.empty(0, int), np.empty(0), np.empty((len(terms), 0)), np.empty(0), np.empty(0), 0.0, k)
+    idf = np.array([(np.log((1 + n1 + n0) / (1 + r.df)) + 1) * max(r.gain, 1e-6) for r in picked])
+    bare = Model(terms, idf, np.zeros(1, int), np.empty(0, int), np.empty(0), np.zeros(1, int),
+                 np.empty(0, int), np.empty(0), np.empty(0), np.empty(0), 0.0, k)
     small = spark.sparkContext.broadcast(bare)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,12 +205,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_mod: int = 4, held_out_rest
     bare.prior = (none.t or 0) / none.n if none.n else 0.0
     bare.label = np.array([r.y for r in rows], float)
     bare.ids = np.array([r.k for r in rows])
-    post = np.array([(t, e, w) for e, r in enumerate(rows) for t, w in zip(r.i, r.w, strict=True)]).reshape(-1, 3)
-    post = post[np.lexsort((post[:, 1], post[:, 0]))]
-    term, bare.example, bare.weight = post[:, 0].astype(int), post[:, 1].astype(np.int64), post[:, 2]
+    term = np.concatenate([np.empty(0, np.int64), *(r.i for r in rows)]).astype(np.int64)
+    weight = np.concatenate([np.empty(0), *(r.w for r in rows)])
+    example = np.repeat(np.arange(len(rows)), [len(r.i) for r in rows])
+    by = np.lexsort((example, term))
+    term, bare.example, bare.weight = term[by], example[by], weight[by]
     bare.start = np.searchsorted(term, np.arange(len(terms) + 1))
-    bare.block_max = np.zeros((len(terms), len(rows) // BLOCK + 1))
-    np.maximum.at(bare.block_max, (term, bare.example // BLOCK), bare.weight)
+    block = bare.example // BLOCK
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(block) != 0)])[:len(term)])
+    bare.block, bare.block_start = block[first], np.searchsorted(term[first], np.arange(len(terms) + 1))
+    bare.block_max = np.maximum.reduceat(bare.weight, first) if len(first) else np.empty(0)
     full = spark.sparkContext.broadcast(bare)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

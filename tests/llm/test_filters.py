@@ -83,6 +83,18 @@ def test_a_labelled_id_on_many_rows_is_one_example(spark):
     assert len(model.ids) == len(set(model.ids.tolist())) and one in model.ids.tolist()
 
 
+def test_rare_toxic_words_are_found(spark):
+    """With the defaults: 400 insults, each in few of the toxic examples."""
+    rnd = random.Random(3)
+    bad = ["".join(rnd.choice("bcdfgklmnprstvz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(400)]
+    rows = [(i, data.prose(rnd, 20) + (f" {bad[i // 5 % 400]}" if i % 5 == 0 else "")) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    got = [r for r in toxicity.score(docs, toxicity.fit(docs, marks)).collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    found = [r.doc_id % 5 == 0 for r in got if r.score >= 0.3]
+    assert sum(found) >= 0.95 * sum(r.doc_id % 5 == 0 for r in got) and sum(found) >= 0.95 * len(found)
+
+
 # --- quality --------------------------------------------------------------------------
 
 def base(text):
