@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontaminate, exact_dedup, line_dedup, maxent, quality, sharding, simhash, token_orc, toxicity, warc, whitening
+from quarry.llm import bpe, conversation_trie, decontaminate, exact_dedup, line_dedup, maxent, quality, sharding, simhash
+from quarry.llm import token_orc, toxicity, warc, whitening
 from quarry.sources.files import new_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +119,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "home_shard")
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_conversation_trie"] = conversation_trie.oracle_sql()
+
+
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
