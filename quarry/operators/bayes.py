@@ -89,7 +89,7 @@ def fit_multinomial(features: DataFrame, labels: DataFrame, alpha: float = 1.0,
     cnt = _class_totals(features, labels, row, feature, value, label, classes)
     tot = cnt.agg(*[F.sum(f"n_{i}").alias(f"t_{i}") for i in range(k)], F.count(F.lit(1)).alias("v")).first()
     v = n_features or tot["v"]
-    nc = {r[0]: r[1] for r in labels.groupBy(label).count().collect()}
+    nc = {r[0]: r[1] for r in labels.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     n = sum(nc.values())
     lp = [math.log(nc[c] / n) if fit_prior else -math.log(k) for c in classes]
     table = cnt.select(feature, *[F.log(F.col(f"n_{i}") + alpha).alias(f"w_{i}") for i in range(k)])
@@ -107,7 +107,7 @@ def fit_bernoulli(features: DataFrame, labels: DataFrame, alpha: float = 1.0, fi
     k = len(classes)
     bin_f = features.select(row, feature).distinct().withColumn("__x", F.lit(1.0))
     cnt = _class_totals(bin_f, labels, row, feature, "__x", label, classes)
-    nc = {r[0]: r[1] for r in labels.groupBy(label).count().collect()}
+    nc = {r[0]: r[1] for r in labels.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     n = sum(nc.values())
     th = [(F.col(f"n_{i}") + alpha) / (nc[c] + 2 * alpha) for i, c in enumerate(classes)]
     table = cnt.select(feature, *[(F.log(t) - F.log(1 - t)).alias(f"w_{i}") for i, t in enumerate(th)],

@@ -8,6 +8,7 @@ Spark ML stages are used where their meaning matches the reference's library.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -34,6 +35,22 @@ def fit_onehot(train: DataFrame, cols: Sequence[str], features: str = "features"
     return Pipeline(stages=onehot_stages(cols, features)).fit(train)
 
 
+def fit_hot_positions(train: DataFrame, cols: Sequence[str]):
+    """X1-X3 without vectors: the number of (column, value) pairs of the training rows, and
+    a function that adds to any rows the positions that are hot, as an int array.  Values
+    unseen while fitting have no position, so their row is all zeros in that column."""
+    labels = StringIndexer(inputCols=list(cols), outputCols=[f"{c}__i" for c in cols], handleInvalid="keep").fit(train).labelsArray
+    starts = [sum(len(v) for v in labels[:i]) for i in range(len(cols))]
+
+    def positions(df: DataFrame, out: str = "hot") -> DataFrame:
+        # the dictionaries are constants of the plan: as many entries as the weights have
+        at = [F.try_element_at(F.from_json(F.lit(json.dumps({v: s + i for i, v in enumerate(values)})), "map<string,int>"), F.col(c).cast("string"))
+              for c, values, s in zip(cols, labels, starts, strict=True)]
+        return df.withColumn(out, F.array_compact(F.array(*at)))
+
+    return sum(len(v) for v in labels), positions
+
+
 def hashed_features(cols: Sequence[str], num_features: int = 10_000, out: str = "features") -> FeatureHasher:
     """X5."""
     return FeatureHasher(numFeatures=num_features, inputCols=list(cols), outputCol=out)
@@ -83,6 +100,18 @@ def map_features(m: Column) -> Column:
     return F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
 
 
+def inverse_map_features(encoded: DataFrame, vocab: DataFrame, id_col: str, index: str = "index", out: str = "features") -> DataFrame:
+    """X9 inverse / F16: the string map of each row, from its hot positions (id, index) and
+    the dictionary (feature, index).  A key is what stands before the first ``=``; of
+    several values that a row has of a key the last in order stays, so that a key occurs
+    once.  Positions without a dictionary entry are left out."""
+    named = encoded.join(vocab.select("feature", index), index)
+    at = F.instr("feature", "=")
+    pairs = named.select(id_col, F.substring(F.col("feature"), F.lit(1), at - 1).alias("__key"), F.substring(F.col("feature"), at + 1, F.length("feature")).alias("__value"))
+    once = pairs.groupBy(id_col, "__key").agg(F.max("__value").alias("__value"))
+    return once.groupBy(id_col).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("__key", "__value")))).alias(out))
+
+
 def label_encode(df: DataFrame, col: str, out: str = "index") -> DataFrame:
     """Sorted distinct labels -> 0..k-1 (dictionary, join it back)."""
     return global_row_index(df.select(col).distinct().where(F.col(col).isNotNull()), [col], out)
@@ -120,13 +149,6 @@ def pca(df: DataFrame, vec_col: str, k: int, whiten: bool = False, out: str = "p
     return proj, model
 
 
-def pca_svm(k: int, reg: float, features: str = "features", label: str = "label") -> Pipeline:
-    """PCA then a linear SVM as one estimator (fit and searched together)."""
-    from pyspark.ml.classification import LinearSVC
-    return Pipeline(stages=[PCA(k=k, inputCol=features, outputCol="__pca"),
-                            LinearSVC(featuresCol="__pca", labelCol=label, regParam=reg)])
-
-
 # ------------------------------------------------------------------ bag of words / TF-IDF
 
 def term_counts(tokens: DataFrame, doc: str = "doc_id", token: str = "token") -> DataFrame:

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sources.files import cached
+
 GradFn = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, float]]
 
 
@@ -82,13 +84,12 @@ def train_gd(df: DataFrame, dim: int, fn: GradFn, max_iter: int = 1000, learning
     Returns (weights, [(iteration, mean cost)])."""
     w = np.zeros(dim)
     costs = []
-    data = df.select(features, label).cache()  # re-read every step; recomputed from lineage if lost
-    for it in range(max_iter):
-        g, loss, n = sum_gradient(data, w, fn, features, label)
-        if it % log_every == 0:
-            costs.append((it, loss / max(n, 1)))
-        w = w + learning_rate / max(n, 1) * g
-    data.unpersist()
+    with cached(df.select(features, label)) as data:  # re-read every step; recomputed from lineage if lost
+        for it in range(max_iter):
+            g, loss, n = sum_gradient(data, w, fn, features, label)
+            if it % log_every == 0:
+                costs.append((it, loss / max(n, 1)))
+            w = w + learning_rate / max(n, 1) * g
     return w, costs
 
 
@@ -211,20 +212,12 @@ def train_linear_svr(df: DataFrame, dim: int, C: float = 1.0, epsilon: float = 0
 
 def spark_logistic(max_iter: int = 20, reg: float = 0.001, elastic_net: float = 0.001,
                    features: str = "features", label: str = "label"):
-    """Elastic-net logistic regression (sparse features welcome)."""
+    """Elastic-net logistic regression (sparse features welcome)."""
     from pyspark.ml.classification import LogisticRegression
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net,
                               featuresCol=features, labelCol=label)
 
 
-def spark_linear(max_iter: int = 100, reg: float = 0.0, elastic_net: float = 0.0,
-                 features: str = "features", label: str = "label"):
-    """M30 regressor."""
-    from pyspark.ml.regression import LinearRegression
-    return LinearRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic_net,
-                            featuresCol=features, labelCol=label)
-
-
 def one_vs_rest(classifier, weight_col: str | None = None):
     """M30/M9 multi-class: one binary model per class (optional per-row weights)."""
     from pyspark.ml.classification import OneVsRest

@@ -1,5 +1,5 @@
-"""Support-vector learners (M7-M12) on Spark ML's LinearSVC, plus random Fourier
-features for the RBF kernel (an approximation; Rahimi & Recht 2007)."""
+"""Linear support-vector learners (M7-M9, M32) on Spark ML's LinearSVC, and the one-vs-one
+vote (M8).  Kernel machines are in ``kernel.py``."""
 
 from __future__ import annotations
 
@@ -73,19 +73,3 @@ def one_vs_one(df: DataFrame, classes, C: float = 1.0, features: str = "features
     tally = F.transform(F.array(*[F.lit(c) for c in sorted(classes)]),
                         lambda c: F.struct((-F.size(F.filter("votes", lambda v: v == c))).alias("n"), c.alias("c")))
     return votes.select(row, F.array_min(tally)["c"].alias("pred"))
-
-
-def rff_weights(dim: int, n_components: int, gamma: float, seed: int = 42):
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, dim))
-    b = rng.uniform(0, 2 * math.pi, size=n_components)
-    return W, b
-
-
-def rff(x: Column, W: np.ndarray, b: np.ndarray) -> Column:
-    """z(x) = sqrt(2/D) cos(W x + b), a JVM column expression; z(x).z(y)
-    approaches exp(-gamma ||x - y||^2) as D grows."""
-    from quarry.functions.vector import dot_const
-    D = len(b)
-    s = math.sqrt(2.0 / D)
-    return F.array(*[F.lit(s) * F.cos(dot_const(x, W[i].tolist()) + F.lit(float(b[i]))) for i in range(D)])

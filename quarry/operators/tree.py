@@ -95,23 +95,24 @@ class Tree:
         return spark.createDataFrame(rows, "node_id long, depth int, n long, is_leaf boolean, feature int, "
                                            "value string, prediction double")
 
-    def rules(self) -> list[tuple[int, str]]:
-        """Indented rules, depth-first, left before right."""
-        out: list[tuple[int, str]] = []
-
-        def walk(i: int, depth: int) -> None:
-            nd = self.nodes[i]
-            if nd.is_leaf:
-                out.append((depth, "  " * depth + f"[{nd.prediction:g}]"))
-                return
-            name = self.names[nd.feature] if self.names else f"X{nd.feature + 1}"
-            yes, no = (f">= {nd.value}", f"< {nd.value}") if nd.numeric else (f"is {nd.value}", f"is not {nd.value}")
-            out.append((depth, "  " * depth + f"|- {name} {no}"))
-            walk(2 * i, depth + 1)
-            out.append((depth, "  " * depth + f"|- {name} {yes}"))
-            walk(2 * i + 1, depth + 1)
-        walk(1, 0)
-        return out
+    def rules(self) -> list[tuple[int, int, int, str, float]]:
+        """A row for each leaf: its id, depth, training rows, the conditions that lead to
+        it joined by AND (TRUE for a tree of one leaf), and its prediction.  A leaf's id in
+        binary is the path: 1, then a digit per level, 1 where the condition holds."""
+        rows = []
+        for leaf in sorted(i for i, n in self.nodes.items() if n.is_leaf):
+            path = [leaf >> k for k in range(leaf.bit_length() - 1, -1, -1)]
+            tests = [self._condition(self.nodes[up], down & 1 == 1) for up, down in zip(path, path[1:], strict=False)]
+            at = self.nodes[leaf]
+            rows.append((leaf, len(tests), at.n, " AND ".join(tests) or "TRUE", float(at.prediction)))
+        return rows
+
+    def _condition(self, node: Node, holds: bool) -> str:
+        """The SQL condition of one side of a split."""
+        name = self.names[node.feature] if self.names else f"feature_{node.feature}"
+        if node.numeric:
+            return f"{name} {'>=' if holds else '<'} {node.value}"
+        return f"{name} {'=' if holds else '<>'} '{node.value}'"
 
     def _walk(self, x: Column) -> tuple[Column, list[int]]:
         """Place (in the sorted node ids) of the leaf a row reaches: one fold over the levels

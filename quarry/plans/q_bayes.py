@@ -90,7 +90,25 @@ def m3_m4_bernoulli_nb(spark, sf_dir):
     return rounded(pr.select("doc_id", F.col("probs")[1].alias("p1"), "pred"), {"p1": 6})
 
 
-@register("m6_gaussian_nb_accuracy")
+_M6_SQL = sql_rounded("""
+WITH f AS (SELECT vec_id, label, embedding, (row_number() OVER (PARTITION BY label ORDER BY md5(vec_id::VARCHAR || '42')) - 1) % 5 AS fold FROM embeddings),
+x AS (SELECT vec_id, label, fold, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM f),
+h AS (SELECT unnest(range(5)) AS held),
+c AS (SELECT held, label, pos, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM x, h WHERE fold <> held GROUP BY 1, 2, 3),
+e AS (SELECT held, max(v) AS spread FROM (SELECT held, pos, var_pop(x) AS v FROM x, h WHERE fold <> held GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT unnest([1e-10, 1e-9, 1e-5]) AS var_smoothing),
+p AS (SELECT held, label, max(n) AS n FROM c GROUP BY 1, 2),
+t AS (SELECT held, sum(n) AS n FROM p GROUP BY 1),
+l AS (SELECT var_smoothing, x.fold, x.vec_id, x.label, c.label AS guess,
+        any_value(ln(p.n / t.n)) - 0.5 * sum(ln(2 * pi() * (v + var_smoothing * spread)) + (x - m) * (x - m) / (v + var_smoothing * spread)) AS ll
+      FROM x JOIN c ON c.held = x.fold AND c.pos = x.pos JOIN e ON e.held = x.fold JOIN p ON p.held = x.fold AND p.label = c.label
+        JOIN t ON t.held = x.fold, s GROUP BY 1, 2, 3, 4, 5),
+g AS (SELECT var_smoothing, fold, vec_id, label, arg_max(guess, ll) AS guess FROM l GROUP BY 1, 2, 3, 4)
+SELECT var_smoothing, avg(acc) AS accuracy FROM (SELECT var_smoothing, fold, avg(CAST(label = guess AS INTEGER)) AS acc FROM g GROUP BY 1, 2) GROUP BY 1""",
+                      {"accuracy": 6})
+
+
+@register("m6_gaussian_nb_accuracy", _M6_SQL)
 def m6_gaussian_nb_accuracy(spark, sf_dir):
     """Gaussian NB on embeddings for each var_smoothing on a grid: mean accuracy on the held-out
     rows of five stratified folds, whose statistics all smoothings share."""
@@ -107,7 +125,25 @@ def m6_gaussian_nb_accuracy(spark, sf_dir):
     return rounded(res.groupBy("var_smoothing").agg(F.avg("accuracy").alias("accuracy")), {"accuracy": 6})
 
 
-@register("r9_nb_cv_grid")
+# A learned prior adds one number to all scores of a fold, which changes no AUC.
+_R9_SQL = sql_rounded(fx.with_sql([], """
+SELECT alpha, fit_prior, mean_auc FROM (SELECT alpha, avg(auc) AS mean_auc FROM auc GROUP BY 1), (SELECT unnest([true, false]) AS fit_prior)""",
+    _BOW_CTES, _BOW_F, """fo AS (SELECT doc_id, quality AS label, (row_number() OVER (PARTITION BY quality ORDER BY md5(doc_id::VARCHAR || '42')) - 1) % 10 AS fold FROM labels)""",
+    """pf AS (SELECT fold, term, sum(CASE WHEN label = 0 THEN tf ELSE 0 END) AS f0, sum(CASE WHEN label = 1 THEN tf ELSE 0 END) AS f1 FROM bow JOIN fo USING (doc_id) GROUP BY 1, 2)""",
+    """al AS (SELECT term, sum(f0) AS a0, sum(f1) AS a1 FROM pf GROUP BY 1)""",
+    """tt AS (SELECT fold, sum(f0) AS t0, sum(f1) AS t1 FROM pf GROUP BY 1)""",
+    """ta AS (SELECT sum(t0) AS t0, sum(t1) AS t1 FROM tt)""",
+    """ga AS (SELECT CAST(unnest([1, 2, 3, 4, 5, 6]) AS DOUBLE) AS alpha)""",
+    """sc AS (SELECT alpha, fold, label, doc_id, coalesce(sum(tf * (ln(a1 - f1 + alpha) - ln(a0 - f0 + alpha))), 0)
+         - coalesce(sum(tf), 0) * (ln(any_value(ta.t1 - tt.t1) + alpha * any_value(nv)) - ln(any_value(ta.t0 - tt.t0) + alpha * any_value(nv))) AS s
+       FROM fo LEFT JOIN bow USING (doc_id) LEFT JOIN al USING (term) LEFT JOIN pf USING (fold, term) JOIN tt USING (fold), ta, ga, (SELECT count(*) AS nv FROM al) GROUP BY 1, 2, 3, 4)""",
+    """rk AS (SELECT alpha, fold, label, round(s, 9) AS s FROM sc)""",
+    """auc AS (SELECT alpha, fold, sum(CASE WHEN label = 1 THEN r ELSE 0 END) / (count_if(label = 1) * count_if(label = 0)) - (count_if(label = 1) + 1.0) / (2 * count_if(label = 0)) AS auc
+       FROM (SELECT alpha, fold, label, rank() OVER (PARTITION BY alpha, fold ORDER BY s) + (count(*) OVER (PARTITION BY alpha, fold, s) - 1) / 2.0 AS r FROM rk) GROUP BY 1, 2)"""),
+    {"mean_auc": 6})
+
+
+@register("r9_nb_cv_grid", _R9_SQL)
 def r9_nb_cv_grid(spark, sf_dir):
     """10-fold stratified CV AUC of multinomial NB over alpha x fit_prior, all settings and
     folds scored from one set of per-fold count aggregates."""

@@ -1,4 +1,4 @@
-"""Registered queries: learners (M7-M42, R8, R10, S8, X1-X6, X15, ST1-ST2).
+"""Registered queries: learners (M7-M42, X1-X6, ST1-ST2); searches are in ``q_search``.
 
 Model fits are iterative and seeded but not expressible in SQL, so these carry no
 DuckDB twin (rows-only check); their exact parts are covered by toy tests.
@@ -161,11 +161,11 @@ def x5_x6_hashed_and_formula_features(spark, sf_dir):
 
 @register("m17_m18_cart_rules")
 def m17_m18_cart_rules(spark, sf_dir):
-    """Scratch CART (gini, depth 3, min size 45) on the click categories; printed rules."""
+    """Scratch CART (gini, depth 3, min size 45) on the click categories; a rule per leaf."""
     c = fx.clicks(spark, sf_dir)
     df = c.select(F.array(*[F.col(x) for x in CAT]).alias("x"), "label")
     t = tree.train_tree(df, "x", "label", ["cat"] * len(CAT), 3, 45, "gini", [0, 1], CAT)
-    return spark.createDataFrame(t.rules(), "depth int, rule string")
+    return spark.createDataFrame(t.rules(), "leaf long, depth int, n long, condition string, prediction double")
 
 
 @register("m16_m20_regression_tree_nodes")
@@ -262,19 +262,6 @@ def m8_e2_svm_one_vs_one(spark, sf_dir):
     return metrics.confusion(j, "label", "pred", classes)
 
 
-@register("m10_m12_rbf_feature_svm")
-def m10_m12_rbf_feature_svm(spark, sf_dir):
-    """RBF kernel via 64 random Fourier features -> linear SVM (classification) and
-    epsilon-insensitive regression on the same map."""
-    W, bb = svm.rff_weights(64, 64, 0.05, 42)
-    e = _emb(spark, sf_dir).withColumn("features", svm.rff(F.col("features"), W, bb))
-    ev = e.withColumn("features", array_to_vector("features"))
-    acc = metrics.accuracy(svm.linear_svc(10.0, ev.count()).fit(ev).transform(ev), "label", "prediction")
-    w = linear.train_linear_svr(e, 64, C=1.0, epsilon=0.1, max_iter=20, learning_rate=0.5)
-    return spark.createDataFrame([("rff_svm_accuracy", float(acc.first().accuracy)),
-                                  ("svr_bias", float(w[-1]))], "name string, value double")
-
-
 @register("m11_linear_svr")
 def m11_linear_svr(spark, sf_dir):
     """Linear epsilon-SVR on scaled price features; test R2."""
@@ -309,26 +296,6 @@ def m34_sigmoid_network(spark, sf_dir):
     return spark.createDataFrame([(ep, float(l)) for ep, l, _ in h] + [(-1, float(a))], "epoch int, value double")
 
 
-@register("r10_s8_random_search")
-def r10_s8_random_search(spark, sf_dir):
-    """Random search over units / dropout / log-uniform learning rate; trials written to
-    Parquet, reloaded, best by validation loss."""
-    tr, te, names = _price_xy(spark, sf_dir)
-    trs, tes = (d.withColumn("label", F.col("label") / 1e4).checkpoint() for d in (tr, te))
-    rng = np.random.default_rng(42)
-    trials = []
-    for i in range(4):
-        units = int(rng.choice([16, 32, 48, 64]))
-        drop = float(rng.choice([0.1, 0.2, 0.3]))
-        lr = float(10 ** rng.uniform(-3, -1))
-        _, h = neural.train(trs, [len(names), units, 1], epochs=8, lr=lr, dropout=drop, valid=tes)
-        best = min(h, key=lambda t: t[2])
-        trials.append((f"trial_{i:02d}", {"units": float(units), "dropout": drop, "learning_rate": lr},
-                       float(best[2]), int(best[0]), "COMPLETED"))
-    path = files.save_trials(spark.createDataFrame(trials, files.TRIAL_SCHEMA), files.new_scratch(spark, "trials"))
-    return files.best_trial(spark, path)
-
-
 @register("m37_kmeans_scratch")
 def m37_kmeans_scratch(spark, sf_dir):
     """k-means from scratch (k=10) on embeddings: cluster sizes and final centres' norms."""
@@ -396,35 +363,6 @@ def m41_t5_nmf_topics(spark, sf_dir):
     return topics.top_terms(per_topic.select("topic", "term", "weight"), 10).withColumn("final_loss", F.lit(losses[-1]))
 
 
-@register("r8_grid_search")
-def r8_grid_search(spark, sf_dir):
-    """Grid over the logistic regularisation x 3 stratified folds, mean AUC; the first
-    best setting is refit on all rows."""
-    from quarry.operators.split import stratified_folds
-    c = fx.clicks(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
-    c = stratified_folds(c, "row_id", "label", 3, 42)
-    enc = encode.fit_onehot(c, CAT)
-    x = enc.transform(c).select("row_id", "fold", "features", "label").cache()
-    rows = []
-    for reg in (0.001, 0.01, 0.1):
-        aucs = []
-        for f in range(3):
-            m = linear.spark_logistic(20, reg, 0.0).fit(x.where(F.col("fold") != f))
-            aucs.append(metrics.auc(_p1(m.transform(x.where(F.col("fold") == f))), "label", "p1").first().auc)
-        rows.append((reg, float(np.mean(aucs))))
-    best = max(rows, key=lambda r: r[1])
-    x.unpersist()
-    return spark.createDataFrame([(r, a, r == best[0]) for r, a in rows], "reg double, mean_auc double, best boolean")
-
-
-@register("x12_x15_pca_svm")
-def x12_x15_pca_svm(spark, sf_dir):
-    """PCA (8 components) then linear SVM as one pipeline; train accuracy."""
-    e = _emb(spark, sf_dir).withColumn("features", array_to_vector("features"))
-    m = encode.pca_svm(8, 0.01).fit(e)
-    return metrics.accuracy(m.transform(e), "label", "prediction")
-
-
 EVENTS_PER_FILE = 20_000  # a chunk of the stream
 
 

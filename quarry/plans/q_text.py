@@ -159,6 +159,18 @@ def x9_f16_dict_vectoriser(spark, sf_dir):
     return feats.join(vocab, "feature").select("row_id", "feature", "index")
 
 
+@register("x9_f16_inverse_map", fx.with_sql(["clicks"], """
+SELECT row_id, l_linestatus AS linestatus, c_mktsegment AS segment, 2 AS n FROM clicks"""))
+def x9_f16_inverse_map(spark, sf_dir):
+    """Maps encoded as hot positions, and rebuilt from these and the dictionary alone."""
+    c = fx.clicks(spark, sf_dir)
+    m = F.create_map(F.lit("linestatus"), F.col("l_linestatus"), F.lit("segment"), F.col("c_mktsegment"))
+    feats = c.select("row_id", F.explode(en.map_features(m)).alias("feature"))
+    vocab = en.label_encode(feats, "feature")
+    back = en.inverse_map_features(feats.join(vocab, "feature").select("row_id", "index"), vocab, "row_id")
+    return back.select("row_id", F.col("features")["linestatus"].alias("linestatus"), F.col("features")["segment"].alias("segment"), F.size("features").alias("n"))
+
+
 @register("x10_label_encode", """
 SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS index FROM (SELECT DISTINCT p_type FROM part)""")
 def x10_label_encode(spark, sf_dir):

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
-from quarry.operators import linear, metrics, relate, split, svm
+from quarry.operators import kernel, linear, metrics, relate, split
 
 
 def test_porter_and_lemma(spark):
@@ -46,9 +46,7 @@ def test_auc_invariant_under_monotone_transform(spark):
     assert 0 <= a <= 1 and a == pytest.approx(b)
 
 
-def test_rff_approximates_rbf(spark):
-    W, b = svm.rff_weights(2, 2000, 1.0, 0)
-    pts = spark.createDataFrame([([0.0, 0.0], [0.5, 0.5])], "a array<double>, c array<double>")
-    from quarry.functions.vector import dot
-    r = pts.select(dot(svm.rff(F.col("a"), W, b), svm.rff(F.col("c"), W, b)).alias("k")).first().k
-    assert r == pytest.approx(np.exp(-0.5), abs=0.06)
+def test_fourier_features_approach_the_rbf_kernel():
+    made = kernel.fourier(2, 2000, 1.0, 0)
+    a, b = made(np.array([[0.0, 0.0], [0.5, 0.5]]))[:, :-1]
+    assert a @ b == pytest.approx(np.exp(-0.5), abs=0.06)

@@ -73,7 +73,8 @@ def test_cart_categorical_toy(spark):
     assert t.nodes[4].prediction == 0 and t.nodes[5].prediction == 1
     pred = df.select(t.predict(F.col("x")).alias("p"), "y").collect()
     assert sum(int(r.p == r.y) for r in pred) >= 6
-    assert t.rules()[0][1].startswith("|- X1 is not fashion")
+    assert t.rules() == [(3, 1, 2, "feature_0 = 'fashion'", 0.0), (4, 2, 3, "feature_0 <> 'fashion' AND feature_1 <> 'professional'", 0.0),
+                         (5, 2, 2, "feature_0 <> 'fashion' AND feature_1 = 'professional'", 1.0)]
 
 
 def test_cart_numeric_toy(spark):
