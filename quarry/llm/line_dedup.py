@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.words import Words, blocks
 from quarry.session import ensure_checkpoint_dir
@@ -80,9 +81,27 @@ def lines_of(texts: Iterator[str | None]) -> Iterator[Lines]:
             at = end
 
 
-def order_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Place of a line among all: documents by id, then lines (from 2^20 on they tie)."""
-    return doc * (1 << 20) + np.minimum(line, (1 << 20) - 1)
+def no_id(lines: np.ndarray, nz: np.ndarray) -> np.ndarray:
+    """Line numbers, below zero in documents without an id (nz = 0), so that (d, number) is a
+    line's place: null ids are stored as the least long and come before it."""
+    return (lines - np.where(nz == 0, 1 << 31, 0)).astype(np.int32)
+
+
+class Seen:
+    """Sets that a task has given, with the least place given for each, in a table of fixed
+    size; a set that another one displaced is given again."""
+
+    def __init__(self, bits: int = 18):
+        self.shift, n = np.uint64(64 - bits), 1 << bits
+        self.sid, self.d, self.line = np.zeros(n, np.int64), np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int32)
+
+    def fresh(self, sid: np.ndarray, d: np.ndarray, line: np.ndarray) -> np.ndarray:
+        """Which of the sets (each once) were not given yet, or only at a later place."""
+        at = ((sid.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
+        new = (self.sid[at] != sid) | (d < self.d[at]) | ((d == self.d[at]) & (line < self.line[at]))
+        at = at[new]
+        self.sid[at], self.d[at], self.line[at] = sid[new], d[new], line[new]
+        return new
 
 
 def pack(counts: np.ndarray) -> list[tuple[int, bytes]]:
@@ -135,55 +154,46 @@ def scan(narrow: DataFrame) -> DataFrame:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         none = pa.nulls
         for b in batches:
-            texts = b.column(2)
+            texts = b.column(3)
             n = pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n, none(b.num_rows, pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), n, none(b.num_rows, pa.int64()),
                                               none(b.num_rows, pa.int64()), none(b.num_rows, pa.int32()), none(b.num_rows, pa.binary())], names=NAMES)
-            d, tk = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy()
+            d, nz, tk = (b.column(i).to_numpy() for i in range(3))
             for x in lines_of(t.as_py() for t in texts):
                 counts += np.bincount(x.words & np.uint64((1 << SKETCH_BITS) - 1), minlength=1 << SKETCH_BITS).astype(np.uint32)
                 m = len(x.size)
-                yield pa.RecordBatch.from_arrays([pa.array(d[x.owner]), pa.array(tk[x.owner]), none(m, pa.int64()), pa.array(x.number),
+                yield pa.RecordBatch.from_arrays([pa.array(d[x.owner]), pa.array(nz[x.owner]), pa.array(tk[x.owner]), none(m, pa.int64()), pa.array(x.number),
                                                   pa.array(x.ids()), none(m, pa.int32()), none(m, pa.binary())], names=NAMES)
         rows = pack(counts)
         m = len(rows)
-        yield pa.RecordBatch.from_arrays([*(none(m, pa.int64()) for _ in range(5)), pa.array([r[0] for r in rows], pa.int32()),
+        yield pa.RecordBatch.from_arrays([none(m, pa.int64()), none(m, pa.int32()), *(none(m, pa.int64()) for _ in range(4)), pa.array([r[0] for r in rows], pa.int32()),
                                           pa.array([r[1] for r in rows], pa.binary())], names=NAMES)
 
-    return narrow.mapInArrow(run, "d bigint, tk bigint, n_lines bigint, line bigint, sid bigint, chunk int, data binary")
+    return narrow.mapInArrow(run, "d bigint, nz int, tk bigint, n_lines bigint, line bigint, sid bigint, chunk int, data binary")
 
 
-NAMES = ["d", "tk", "n_lines", "line", "sid", "chunk", "data"]
+NAMES = ["d", "nz", "tk", "n_lines", "line", "sid", "chunk", "data"]
 
 
 def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFrame:
-    """Rows (key, n, pos, sid, parity, ord): the rarest words of every distinct set, again
-    where a task meets the set at a smaller place: the least ``ord`` is the set's first.  With
+    """Rows (key, n, pos, sid, parity, od, ol): the rarest words of every distinct set, again
+    where a task meets the set at a smaller place: the least (od, ol) is the set's first.  With
     ``wanted`` (a filter over words) only rows of these words."""
     num, den = share.numerator, share.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = counts.value
         level = np.minimum(63, (4 * np.log2(np.maximum(sketch, 1))) // 2).astype(np.uint64)
-        done, least = np.empty(0, np.int64), np.empty(0, np.int64)  # sets and the least place given for each
+        given = Seen()
         for b in batches:
-            d = b.column(0).to_numpy(zero_copy_only=False)
-            for x in lines_of(t.as_py() for t in b.column(2)):
-                ids, place_of = x.ids(), order_key(d[x.owner], x.number)
-                by = np.lexsort((place_of, ids))
+            d, nz = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for x in lines_of(t.as_py() for t in b.column(3)):
+                ids, od = x.ids(), d[x.owner]
+                ol = no_id(x.number, nz[x.owner])
+                by = np.lexsort((ol, od, ids))
                 first = by[np.concatenate([[True], ids[by][1:] != ids[by][:-1]])]
                 fresh = np.zeros(len(ids), bool)
-                seen, known = np.searchsorted(done, ids[first]), np.isin(ids[first], done)
-                known[known] = place_of[first][known] >= least[seen[known]]  # rows may come in any order
-                fresh[first] = ~known
-                new = first[~known]
-                if len(done) < 1_000_000:
-                    keys, places = np.concatenate([done, ids[new]]), np.concatenate([least, place_of[new]])
-                    by = np.lexsort((places, keys))
-                    by = by[np.concatenate([[True], keys[by][1:] != keys[by][:-1]])[:len(by)]]
-                    done, least = keys[by], places[by]
-                else:
-                    done, least = ids[first], place_of[first]
+                fresh[first] = given.fresh(ids[first], od[first], ol[first])
                 line = np.repeat(np.arange(len(x.size), dtype=np.uint64), x.size)
                 low = x.words & np.uint64((1 << SKETCH_BITS) - 1)
                 keys = np.sort((line << np.uint64(40)) | (level[low] << np.uint64(34)) | (x.words & WORD))
@@ -206,9 +216,12 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                 at = line[rows]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(word[rows] + (cell << 34)), pa.array(n[rows].astype(np.int32)), pa.array(pos[rows].astype(np.int32)), pa.array(ids[at]),
-                     pa.array(x.parity()[at].view(np.int64)), pa.array(place_of[at])], names=["key", "n", "pos", "sid", "parity", "ord"])
+                     pa.array(x.parity()[at].view(np.int64)), pa.array(od[at]), pa.array(ol[at])], names=PREFIX)
 
-    return narrow.mapInArrow(run, "key bigint, n int, pos int, sid bigint, parity bigint, ord bigint")
+    return narrow.mapInArrow(run, "key bigint, n int, pos int, sid bigint, parity bigint, od bigint, ol int")
+
+
+PREFIX = ["key", "n", "pos", "sid", "parity", "od", "ol"]
 
 
 def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
@@ -231,7 +244,10 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
         apart = np.bitwise_count(rows["parity"][i].view(np.uint64) ^ rows["parity"][j].view(np.uint64)).astype(np.int64)
         ok = apart <= both - 2 * need
         i, j, apart = i[ok], j[ok], apart[ok]
-        late = (rows["ord"][i] > rows["ord"][j]) | ((rows["ord"][i] == rows["ord"][j]) & (rows["sid"][i] > rows["sid"][j]))
+        late, tie = np.zeros(len(i), bool), np.ones(len(i), bool)
+        for c in ("od", "ol", "sid"):
+            late |= tie & (rows[c][i] > rows[c][j])
+            tie &= rows[c][i] == rows[c][j]
         new = np.stack([np.where(late, i, j), np.where(late, j, i), apart], axis=1)
         out.append(new if only is None else new[only[place(rows["sid"][new[:, 0]], SKETCH_BITS)]])
 
@@ -264,21 +280,19 @@ def best(found: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
 def candidates(rows: DataFrame, share: Fraction, limit: int | None, only=None) -> DataFrame:
     """(late, early, apart, word): pairs of sets and how far their parities differ; where the candidates of a line were cut, a row names
     the word instead of the earlier set."""
-    names = ["key", "n", "pos", "sid", "parity", "ord"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
         size, last = 0, None
         for b in itertools.chain(batches, [None]):
             if b is not None and b.num_rows:
-                held.append({c: b.column(i).to_numpy() for i, c in enumerate(names)})
+                held.append({c: b.column(i).to_numpy() for i, c in enumerate(PREFIX)})
                 size += b.num_rows
             if not size or (b is not None and (size < 50_000 or held[-1]["key"][-1] == held[0]["key"][0])):
                 continue
-            rows = {c: np.concatenate([h[c] for h in held]) for c in names}
+            rows = {c: np.concatenate([h[c] for h in held]) for c in PREFIX}
             end = size if b is None else int(np.searchsorted(rows["key"], rows["key"][-1]))  # the last group may go on
             group = {c: v[:end] for c, v in rows.items()}
-            keep = np.lexsort((group["ord"], group["sid"], group["n"], group["key"]))  # equal sets: the first line
+            keep = np.lexsort((group["ol"], group["od"], group["sid"], group["n"], group["key"]))  # equal sets: the first line
             group = {c: v[keep] for c, v in group.items()}
             one = np.concatenate([[True], (np.diff(group["key"]) != 0) | (np.diff(group["sid"]) != 0)])
             group = {c: v[one] for c, v in group.items()}
@@ -298,7 +312,7 @@ def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x in lines_of(t.as_py() for t in b.column(2)):
+            for x in lines_of(t.as_py() for t in b.column(3)):
                 ids, at = np.unique(x.ids(), return_index=True)
                 hit = wanted.value[place(ids, bits)]
                 ids, at = ids[hit], at[hit]
@@ -334,16 +348,21 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     the lines with words that stay) for every input row.
 
     A line without words always stays and is not in ``kept``.  Null texts have one empty
-    line.  ``doc`` is an integer; null counts as the least.  Rows that repeat an id and text
+    line.  ``doc`` is any integer (else a TypeError); null comes before all.  Rows that repeat an id and text
     are one document (each row gets its result); rows of one id with different texts are
     in the order of their sets' hashes.  An empty table gives no rows; other columns are
     not read.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    kind = docs.schema[doc].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{doc} is {kind.simpleString()}; lines are ordered by integer ids")
     broadcast, share = spark.sparkContext.broadcast, Fraction(similarity)
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    narrow = docs.select(F.coalesce(F.col(doc).cast("long"), F.lit(-1)).alias("d"), F.xxhash64(body).alias("tk"), body.alias("t"))
+    # (d, nz) orders ids with null before all longs
+    narrow = docs.select(F.coalesce(F.col(doc).cast("long"), F.lit(-2**63).cast("long")).alias("d"), F.col(doc).isNotNull().cast("int").alias("nz"),
+                         F.xxhash64(body).alias("tk"), body.alias("t"))
     seen = scan(narrow).checkpoint()
     counts = broadcast(total(seen, SKETCH_BITS))
     found = candidates(prefixes(narrow, counts, share), share, WITNESSES).checkpoint()
@@ -356,14 +375,14 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
         again = again.join(open_.select("late"), "late", "left_semi").join(pairs.select("late", "early"), ["late", "early"], "left_anti").checkpoint()
         later = later.unionByName(verify(narrow, again, share, broadcast)).distinct()
     lines = seen.where("line IS NOT NULL")
-    first = lines.groupBy("sid").agg(F.min(F.struct("d", "line", "tk")).alias("f"))
-    stay = first.join(later.withColumnRenamed("late", "sid"), "sid", "left_anti").select("f.d", "f.tk", "f.line")
-    kept = stay.groupBy("d", "tk").agg(F.array_sort(F.collect_list("line")).alias("kept"))
-    worded = lines.groupBy("d", "tk").agg(F.countDistinct("line").alias("worded"))
-    rows = seen.where("n_lines IS NOT NULL").select("d", "tk", "n_lines")
-    out = rows.join(worded, ["d", "tk"], "left").join(kept, ["d", "tk"], "left")
+    first = lines.groupBy("sid").agg(F.min(F.struct("d", "nz", "line", "tk")).alias("f"))
+    stay = first.join(later.withColumnRenamed("late", "sid"), "sid", "left_anti").select("f.d", "f.nz", "f.tk", "f.line")
+    kept = stay.groupBy("d", "nz", "tk").agg(F.array_sort(F.collect_list("line")).alias("kept"))
+    worded = lines.groupBy("d", "nz", "tk").agg(F.countDistinct("line").alias("worded"))
+    rows = seen.where("n_lines IS NOT NULL").select("d", "nz", "tk", "n_lines")
+    out = rows.join(worded, ["d", "nz", "tk"], "left").join(kept, ["d", "nz", "tk"], "left")
     kept_lines = F.coalesce("kept", F.array().cast("array<bigint>"))
-    return out.select(F.when(F.col("d") >= 0, F.col("d")).cast(docs.schema[doc].dataType).alias(doc), F.col("tk").alias("text_key"), "n_lines",
+    return out.select(F.when(F.col("nz") == 1, F.col("d")).cast(kind).alias(doc), F.col("tk").alias("text_key"), "n_lines",
                       (F.coalesce("worded", F.lit(0)) - F.size(kept_lines)).alias("n_removed"), kept_lines.alias("kept"))
 
 
@@ -371,7 +390,7 @@ def remove(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text:
     """``docs`` with all columns, removed lines cut from the texts.  Texts that lose nothing
     are returned as they were."""
     plan = (dedup(docs, similarity, doc, text).where("n_removed > 0")
-            .select(F.col(doc).alias("__d"), F.col("text_key").alias("__k"), F.col("kept").alias("__s")).dropDuplicates(["__d", "__k"]))
+            .select(F.col(doc).alias("__d"), F.col("text_key").alias("__k"), F.col("kept").alias("__s")).dropDuplicates(["__d", "__k"]))  # a null id is one value
     key = F.xxhash64(F.coalesce(docs[text].cast("string"), F.lit("")))
     joined = docs.join(plan, docs[doc].eqNullSafe(F.col("__d")) & (key == F.col("__k")), "left")
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~x.rlike(r"[^\x20\x09-\x0D]") | F.array_contains("__s", i.cast("long")))

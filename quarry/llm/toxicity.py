@@ -272,13 +272,14 @@ def score(docs: DataFrame, model: Model, doc: str = "doc_id", text: str = "text"
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """``docs`` with all columns, without the rows whose text scores ``threshold`` or more."""
+    """``docs`` with all columns, without the rows whose text scores ``threshold`` or more.
+    Null and empty texts score the model's prior, repeated rows go or stay together, and an
+    empty table gives no rows.  Only the texts go to Python; rows are filtered by Spark."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def stays(texts: pa.Array) -> pa.Array:
         m = shared.value
-        for b in batches:
-            yield b.filter(pa.array([m.score(t.as_py()) < threshold for t in b.column(at)], pa.bool_()))
+        return pa.array([m.score(t.as_py()) < threshold for t in texts], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(stays(F.col(text).cast("string")))

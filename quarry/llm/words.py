@@ -35,7 +35,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(n, M, np.uint64), np.full(n, INVERSE, np.uint64)
         up[0] = down[0] = 1
         tables = np.cumprod(up), np.cumprod(down)  # wraps around, as it should
-        if n > 4 * BLOCK:
+        if n > 2 * BLOCK:
             return tables  # of one very long text; not kept
         _powers = tables
     return _powers

@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quarry.llm import graph, line_dedup, sharding, simhash, warc
 from quarry.sources.files import new_scratch
@@ -155,6 +156,22 @@ def test_line_dedup_over_blocks_in_descending_order(spark):
     assert all(len(got[i]) == line_dedup.FLUSH + 1 for i in (3, 5, 7))
 
 
+def test_line_dedup_orders_all_integers(spark):
+    """Negative, very large and null ids, and far more lines than fit in 20 bits of a key."""
+    same, near = "a b c d e f g h i j", "a b c d e f g h i x"
+    rows = [(2**60 + 1, same), (2**43 + 1, near), (1, same), (-5, "p q r s t u"), (-2**63, near), (None, "p q r s t u"), (7, "p q r s t u")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.kept for r in line_dedup.dedup(docs).collect()}
+    assert got == {-2**63: [0], None: [0], 1: [], -5: [], 7: [], 2**43 + 1: [], 2**60 + 1: []}
+    left = {r.doc_id: r.text for r in line_dedup.remove(docs).collect()}
+    assert left[-5] == "" and left[-2**63] == near and left[None] == "p q r s t u" and len(left) == 7
+    long = "\n" * (2**20 + 5) + "l m n o p q\nl m n o p r s\nl m n o p q"
+    r = line_dedup.dedup(spark.createDataFrame([(1, long)], "doc_id bigint, text string")).first()
+    assert r.kept == [2**20 + 5, 2**20 + 6] and r.n_removed == 1
+    with pytest.raises(TypeError):
+        line_dedup.dedup(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_line_removal_keeps_rows_and_columns(spark):
     docs = data.docs(spark)
     out = line_dedup.remove(docs)
