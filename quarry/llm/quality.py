@@ -25,10 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 BLANK = b" \t\n\x0b\x0c\r"
 NOT_CHARS = BLANK + bytes(range(0x80, 0xC0))  # blanks, and bytes that continue a character
 SYMBOLS = b"[#*$%&|<>]"[1:-1]
+SALTS = 64  # parts of a language's vocabulary that are ranked apart
 CLASSES = ["vowel", "consonant", "upper", "digit", "blank", "mark", "symbol", "beyond ASCII"]
 
 
@@ -88,8 +91,11 @@ class References:
 
 
 def references(docs: DataFrame, top: int = 100, max_langs: int = 200, text: str = "text", lang: str = "lang") -> References:
-    """References of the ``max_langs`` languages with most words; counts cover all texts.
-    Rows without a language or a word give nothing."""
+    """References of the ``max_langs`` languages with most words, which bounds the model;
+    counts cover all texts.  Rows without a language or a word give nothing.  Texts of any
+    further language aren't held against these (see ``assess``)."""
+
+    ensure_checkpoint_dir(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -107,11 +113,17 @@ def references(docs: DataFrame, top: int = 100, max_langs: int = 200, text: str
 
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("l"), F.col(text).cast("string").alias("t"))
     sums = rows.mapInArrow(count, "l string, w binary, n bigint, c int").groupBy("l", "w", "c").agg(F.sum("n").alias("n"))
-    totals = F.sum(F.when(F.col("w").isNotNull(), F.col("n"))).over(Window.partitionBy("l"))
-    rank = F.row_number().over(Window.partitionBy("l", F.col("c").isNull()).orderBy(F.desc("n"), "w"))
-    best = sums.select("*", totals.alias("all"), rank.alias("rank")).where((F.col("rank") <= top) | F.col("c").isNotNull())
-    found = best.where("all > 0").orderBy(F.desc("all"), "l", "rank").limit(max_langs * (top + 8)).collect()  # a bounded model
-    langs = list(dict.fromkeys(r.l for r in found))[:max_langs]
+    sums = sums.withColumn("salt", F.pmod(F.xxhash64("w"), F.lit(SALTS))).checkpoint()
+    totals = sums.where("w IS NOT NULL").groupBy("l").agg(F.sum("n").alias("all"))
+    largest = totals.orderBy(F.desc("all"), "l").limit(max_langs)
+    order = [F.desc("n"), "w"]
+    # the most frequent words of each part of a vocabulary, and then of these
+    part = F.row_number().over(Window.partitionBy("l", "salt").orderBy(*order))
+    some = sums.where("w IS NOT NULL").withColumn("rank", part).where(F.col("rank") <= top)
+    common = some.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy(*order))).where(F.col("rank") <= top)
+    model = common.unionByName(sums.where("w IS NULL").withColumn("rank", F.lit(0)))
+    found = model.join(F.broadcast(largest), "l").orderBy(F.desc("all"), "l", "rank").collect()  # max_langs * (top + 8) rows
+    langs = list(dict.fromkeys(r.l for r in found))
     words: dict[bytes, int] = {}
     for r in found:
         if r.c is None:
@@ -144,19 +156,19 @@ NAMES = ["k", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 
 
 def assess(docs: DataFrame, refs: References, doc: str = "doc_id", text: str = "text", min_words: int = 50, min_chars: int = 200,
-           word_base: float = 0.24, word_noise: float = 2.0, char_limit: float = 0.31) -> DataFrame:
+           word_base: float = 0.24, word_noise: float = 2.0, char_limit: float = 0.31, lang: str = "lang") -> DataFrame:
     """One row per input row: ``doc``, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed (under 50 words, or over half of them repeat), kept,
     nearest (language), word_distance, char_distance (null where not held against it).
 
-    Null and empty texts have no words and fail the base rules.  Without any reference the
-    base rules alone decide.  Repeated rows and null ids are kept, an empty table gives no
+    Null and empty texts have no words and fail the base rules.  Without any reference, or
+    none for the language that the row names, the base rules alone decide.  Repeated rows and null ids are kept, an empty table gives no
     rows, other columns are not read.
     """
     kind = docs.schema[doc].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(refs)
 
-    def one(text: str | None, ref: References) -> tuple:
+    def one(text: str | None, named: str | None, ref: References) -> tuple:
         data = (text or "").encode()
         words = data.split()  # splits at 20, 09-0D only
         n = len(words)
@@ -164,7 +176,7 @@ def assess(docs: DataFrame, refs: References, doc: str = "doc_id", text: str = "
         repeats = repeated_words(words)
         failed = n < 50 or 100 * repeats > 50 * n
         base = (n, len(data.translate(None, NOT_CHARS)), len(data) - len(data.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeats, failed)
-        if n < min_words or not ref.langs:
+        if n < min_words or not ref.langs or (named is not None and named not in ref.langs):
             return (*base, not failed, None, None, None)
         chars = classes(data)
         i, by_word, by_char = ref.compare(data.translate(LOWER).split(), chars)
@@ -177,10 +189,10 @@ def assess(docs: DataFrame, refs: References, doc: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [one(t.as_py(), shared.value) for t in b.column(1)]
+            rows = [one(t.as_py(), la.as_py(), shared.value) for t, la in zip(b.column(1), b.column(2), strict=True)]
             columns = list(zip(*rows, strict=True)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=NAMES)
 
-    narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"))
+    narrow = docs.select(F.col(doc).alias("k"), F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"))
     return narrow.mapInArrow(run, f"k {kind}, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
                              "base_failed boolean, kept boolean, nearest string, word_distance double, char_distance double").withColumnRenamed("k", doc)

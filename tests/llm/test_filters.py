@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from quarry.llm import decontaminate, maxent, quality, toxicity
 from tests.llm import data
@@ -115,6 +116,29 @@ def test_quality_base_rules(spark):
     assert quality.assess(data.empty(spark), quality.references(data.empty(spark))).count() == 0
 
 
+def test_references_are_plain_histograms(spark):
+    """The most frequent words of a language, ties by their bytes, and their shares of all."""
+    from collections import Counter
+    texts = {"x": ["b a a c", "A d b"], "y": ["é é z"], "z": [None, " "]}
+    rows = [(la, t) for la, ts in texts.items() for t in ts] + [(None, "a a a a a a")]
+    got = quality.references(spark.createDataFrame(rows, "lang string, text string").repartition(3), top=2)
+    assert got.langs == ["x", "y"]
+    for i, la in enumerate(got.langs):
+        words = Counter(w for t in texts[la] for w in t.lower().encode().split())
+        top = sorted(words, key=lambda w: (-words[w], w))[:2]
+        share = {w: got.word[i, j] for w, j in got.words.items() if got.own[i, j]}
+        assert share == {w: pytest.approx(words[w] / sum(words.values())) for w in top}
+        assert got.word[i, -1] == pytest.approx(1 - sum(share.values()))
+
+
+def test_texts_of_a_language_without_reference_meet_the_base_rules_alone(spark):
+    prose = [" ".join(f"{la}{j % 17}" for j in range(200 + i)) for la in "xy" for i in range(4)]
+    docs = spark.createDataFrame([(i, t, "x" if i < 4 else "y") for i, t in enumerate(prose)], "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r for r in quality.assess(docs, quality.references(docs, max_langs=1)).collect()}
+    apart = [i for i in got if got[i].nearest is None]
+    assert apart in ([0, 1, 2, 3], [4, 5, 6, 7]) and all(got[i].kept != got[i].base_failed for i in apart)
+
+
 def test_quality_by_divergence(spark):
     rnd = random.Random(4)
     good = [data.prose(rnd, 120) for _ in range(60)]
