@@ -385,7 +385,7 @@ def ends(members: DataFrame) -> DataFrame:
 
 # --- the trie ---------------------------------------------------------------------------
 
-def trie(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", limit: int = 4096) -> DataFrame:
+def trie(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", limit: int = 512) -> DataFrame:
     """The nodes of the prefix trie of the rebuilt conversations: conv_id, depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 
