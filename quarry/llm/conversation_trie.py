@@ -285,14 +285,22 @@ def _finish(columns: list[str]) -> Callable:
 NODE = ["m", "d", "p", "o", "n_convs", "n_children", "leaf", "saved"]
 
 
-def _split(big: DataFrame, stems: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One round: the centroids of the components in ``big`` (finished), and the rest in
-    its new components."""
-    tops = big.groupBy("tc", "td").agg(F.max("weight").alias("all"))
+MOST_SENT = 10_000  # components whose centroids are sent to all tasks; more are joined by key
+
+
+def _split(big: DataFrame, stems: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """One round: the centroids of the ``n`` components in ``big`` (finished), and the rest
+    in its new components."""
+    def by_component(one: DataFrame) -> DataFrame:
+        """A row for each component, sent to all tasks if there are few: a component that
+        holds most nodes then stays spread over them."""
+        one = one.checkpoint()
+        return F.broadcast(one) if n <= MOST_SENT else one
+
+    tops = by_component(big.groupBy("tc", "td").agg(F.max("weight").alias("all")))
     centre = (big.join(tops, ["tc", "td"]).where(2 * F.col("weight") >= F.col("all")).groupBy("tc", "td")
-              .agg(F.max_by("m", "d").alias("cm"), F.max_by("o", "d").alias("co"), F.max_by("weight", "d").alias("cw"), F.max("d").alias("cd")))
-    centre = centre.checkpoint()  # one row for each component
-    rows = big.join(centre, ["tc", "td"])
+              .agg(F.max_by("m", "d").alias("cm"), F.max_by("o", "d").alias("co"), F.max_by("weight", "d").alias("cw"), F.max("d").alias("cd"))).checkpoint()
+    rows = big.join(by_component(centre), ["tc", "td"])
     # whose prefixes a conversation shares at the centroid's depth and at the next one
     under = rows.where("d > cd AND cd < o").select("tc", "td", "cd", "m").distinct()
     stem = stems.select(F.col("c").alias("m"), F.col("d").alias("sd"), F.col("m").alias("sm"))
@@ -306,7 +314,7 @@ def _split(big: DataFrame, stems: DataFrame) -> tuple[DataFrame, DataFrame]:
     above = is_centre | ((F.col("d") < F.col("cd")) & (F.coalesce("pm", "cm") == F.col("m")))
     rows = rows.select("tc", "td", *NODE, "weight", "leaves", "tokens", "cd", "cw", F.coalesce("r1", "m").alias("child"),
                        is_centre.alias("is_centre"), below.alias("below"), above.alias("above")).checkpoint()
-    total = rows.where("below").groupBy("tc", "td").agg(F.sum("leaf").alias("s_leaf"), F.sum("saved").alias("s_saved"))
+    total = by_component(rows.where("below").groupBy("tc", "td").agg(F.sum("leaf").alias("s_leaf"), F.sum("saved").alias("s_saved")))
     rows = rows.join(total, ["tc", "td"])
     out = rows.select(
         F.when(F.col("below") & ~F.col("is_centre"), F.col("child")).otherwise(F.col("tc")).alias("tc"),
@@ -324,11 +332,13 @@ def rolled_up(nodes: DataFrame, stems: DataFrame, limit: int) -> DataFrame:
     small, done = [], []
     while True:
         large = now.groupBy("tc", "td").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > limit).drop("size").checkpoint()
-        if large.isEmpty():
+        n = large.count()
+        if not n:
             small.append(now)
             break
+        large = F.broadcast(large) if n <= MOST_SENT else large
         small.append(now.join(large, ["tc", "td"], "left_anti"))
-        finished, now = _split(now.join(large, ["tc", "td"], "left_semi"), stems)
+        finished, now = _split(now.join(large, ["tc", "td"], "left_semi"), stems, n)
         done.append(finished)
     parts = small[0]
     for more in small[1:]:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.batches import small_batches
 from quarry.llm.words import Words, blocks
 from quarry.session import ensure_checkpoint_dir
 
@@ -355,6 +356,7 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
+    small_batches(spark)
     kind = docs.schema[doc].dataType
     if not isinstance(kind, T.IntegralType):
         raise TypeError(f"{doc} is {kind.simpleString()}; lines are ordered by integer ids")
