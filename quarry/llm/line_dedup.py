@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.batches import small_batches
+from quarry.llm.batches import small_batches, tidy
 from quarry.llm.words import Words, blocks
 from quarry.session import ensure_checkpoint_dir
 
 SKETCH_BITS, CHUNKS = 20, 256
 FLUSH = 1 << 13     # lines worked on at a time
+BLOCK = 1 << 18     # bytes of text worked on at a time; arrays take some 60 times as much
+PAIRS = 500_000     # candidates held at a time
 HOT = 200_000       # occurrences of a word per block of its group
 WITNESSES = 16      # candidates per line and word in the first round
 BEST = 2            # of them that are verified first
@@ -73,7 +75,7 @@ class Lines:
 
 def lines_of(texts: Iterator[str | None]) -> Iterator[Lines]:
     """Bounded blocks of the lines that have words."""
-    for first, some in blocks(texts):
+    for first, some in blocks(texts, BLOCK):
         w = Words(some)
         at = 0
         while at < len(w.line):
@@ -125,7 +127,7 @@ def total(rows: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros((CHUNKS, width), np.uint32)
     met = rows.select("chunk", "data").where("chunk IS NOT NULL").repartition("chunk")
-    for r in met.mapInArrow(add, "chunk int, data binary").collect():
+    for r in met.mapInArrow(tidy(add), "chunk int, data binary").collect():
         out[r.chunk] = np.frombuffer(r.data, np.uint32)
     return out.ravel()
 
@@ -140,7 +142,7 @@ def members(ids: DataFrame, bits: int) -> np.ndarray:
         rows = pack(seen)
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["chunk", "data"])
 
-    return total(ids.mapInArrow(mark, "chunk int, data binary"), bits) > 0
+    return total(ids.mapInArrow(tidy(mark), "chunk int, data binary"), bits) > 0
 
 
 def place(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -170,7 +172,7 @@ def scan(narrow: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([none(m, pa.int64()), none(m, pa.int32()), *(none(m, pa.int64()) for _ in range(4)), pa.array([r[0] for r in rows], pa.int32()),
                                           pa.array([r[1] for r in rows], pa.binary())], names=NAMES)
 
-    return narrow.mapInArrow(run, "d bigint, nz int, tk bigint, n_lines bigint, line bigint, sid bigint, chunk int, data binary")
+    return narrow.mapInArrow(tidy(run), "d bigint, nz int, tk bigint, n_lines bigint, line bigint, sid bigint, chunk int, data binary")
 
 
 NAMES = ["d", "nz", "tk", "n_lines", "line", "sid", "chunk", "data"]
@@ -219,25 +221,25 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                     [pa.array(word[rows] + (cell << 34)), pa.array(n[rows].astype(np.int32)), pa.array(pos[rows].astype(np.int32)), pa.array(ids[at]),
                      pa.array(x.parity()[at].view(np.int64)), pa.array(od[at]), pa.array(ol[at])], names=PREFIX)
 
-    return narrow.mapInArrow(run, "key bigint, n int, pos int, sid bigint, parity bigint, od bigint, ol int")
+    return narrow.mapInArrow(tidy(run), "key bigint, n int, pos int, sid bigint, parity bigint, od bigint, ol int")
 
 
 PREFIX = ["key", "n", "pos", "sid", "parity", "od", "ol"]
 
 
 def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
-         only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+         only: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Candidates (later sid, earlier sid, parity difference, cut) among rows sorted by key
-    and n; with ``only`` (a filter over sids) those of these later lines.  ``cut`` has
-    the rows of lines with as many candidates under a word as the ``limit`` given, or more."""
+    and n, in pieces of about PAIRS; with ``only`` (a filter over sids) those of these later
+    lines.  With a ``limit`` all come in one piece, at most so many of a row, and ``cut``
+    has the rows of lines with as many candidates under a word, or more."""
     num, den = share.numerator, share.denominator
     key, n = rows["key"], rows["n"].astype(np.int64)
     rest = n - rows["pos"]
     ends = np.concatenate([np.flatnonzero(np.diff(key)) + 1, [len(key)]])
     run_end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
-    out = []
 
-    def check(i: np.ndarray, j: np.ndarray) -> None:
+    def check(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         both = n[i] + n[j]
         need = -(-num * both // (num + den))  # least overlap of a match
         ok = (den * n[i] >= num * n[j]) & (np.minimum(rest[i], rest[j]) >= need) & (rows["sid"][i] != rows["sid"][j])
@@ -250,24 +252,35 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
             late |= tie & (rows[c][i] > rows[c][j])
             tie &= rows[c][i] == rows[c][j]
         new = np.stack([np.where(late, i, j), np.where(late, j, i), apart], axis=1)
-        out.append(new if only is None else new[only[place(rows["sid"][new[:, 0]], SKETCH_BITS)]])
-
+        return new if only is None else new[only[place(rows["sid"][new[:, 0]], SKETCH_BITS)]]
+
+    def piece(out: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        found = np.concatenate(out) if out else np.empty((0, 3), np.int64)
+        cut = np.empty(0, np.int64)
+        if limit is not None and len(found):
+            found = best(found, key, limit)
+            at, many = np.unique(found[:, 0], return_counts=True)
+            cut = at[many >= limit]  # there may be more
+        return rows["sid"][found[:, 0]], rows["sid"][found[:, 1]], found[:, 2], cut
+
+    out: list[np.ndarray] = []
+    held = floor = 0
     alive = np.arange(len(key))
     step = 1
     while len(alive := alive[alive + step < run_end[alive]]):  # the step-th row behind each
         alive = alive[den * n[alive] >= num * n[alive + step]]  # sorted by n: none further fits
-        for part in np.array_split(alive, len(alive) // 500_000 + 1):
-            check(part, part + step)
+        for part in np.array_split(alive, len(alive) // 100_000 + 1):
+            out.append(check(part, part + step))
+            held += len(out[-1])
+            if held > PAIRS + floor:
+                if limit is None:
+                    yield piece(out)
+                    out, held = [], 0
+                else:  # what stays is at most ``limit`` a row; as many again may come before the next cut
+                    out = [best(np.concatenate(out), key, limit)]
+                    held = floor = len(out[0])
         step += 1
-        if limit is not None and sum(map(len, out)) > 4_000_000:
-            out = [best(np.concatenate(out), key, limit)]
-    found = np.concatenate(out) if out else np.empty((0, 3), np.int64)
-    cut = np.empty(0, np.int64)
-    if limit is not None and len(found):
-        found = best(found, key, limit)
-        at, many = np.unique(found[:, 0], return_counts=True)
-        cut = at[many >= limit]  # there may be more
-    return rows["sid"][found[:, 0]], rows["sid"][found[:, 1]], found[:, 2], cut
+    yield piece(out)
 
 
 def best(found: np.ndarray, key: np.ndarray, limit: int) -> np.ndarray:
@@ -297,15 +310,15 @@ def candidates(rows: DataFrame, share: Fraction, limit: int | None, only=None) -
             group = {c: v[keep] for c, v in group.items()}
             one = np.concatenate([[True], (np.diff(group["key"]) != 0) | (np.diff(group["sid"]) != 0)])
             group = {c: v[one] for c, v in group.items()}
-            late, early, apart, cut = meet(group, share, limit, None if only is None else only.value)
-            none = pa.nulls(len(cut), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), none]), pa.concat_arrays([pa.array(apart), none]),
-                 pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "apart", "word"])
+            for late, early, apart, cut in meet(group, share, limit, None if only is None else only.value):
+                none = pa.nulls(len(cut), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), none]), pa.concat_arrays([pa.array(apart), none]),
+                     pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "apart", "word"])
             held, size = [{c: v[end:] for c, v in rows.items()}], size - end
 
     met = rows.repartition("key").sortWithinPartitions("key", "n")
-    return met.mapInArrow(run, "late bigint, early bigint, apart bigint, word bigint").distinct()
+    return met.mapInArrow(tidy(run), "late bigint, early bigint, apart bigint, word bigint").distinct()
 
 
 def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
@@ -320,7 +333,7 @@ def sets_of(narrow: DataFrame, wanted, bits: int) -> DataFrame:
                 words = [x.words[x.start[i]:x.start[i] + x.size[i]].view(np.int64) for i in at.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(words, pa.list_(pa.int64()))], names=["sid", "words"])
 
-    return narrow.mapInArrow(run, "sid bigint, words array<bigint>").dropDuplicates(["sid"])
+    return narrow.mapInArrow(tidy(run), "sid bigint, words array<bigint>").dropDuplicates(["sid"])
 
 
 def matched(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:

@@ -68,13 +68,13 @@ class Words:
         return out
 
 
-def blocks(texts: Iterable[str | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts as bytes in blocks of about BLOCK bytes, each with the number of its first text."""
+def blocks(texts: Iterable[str | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts as bytes in blocks of about ``limit`` bytes, each with the number of its first text."""
     some: list[bytes] = []
     size = first = 0
     for i, t in enumerate(texts):
         b = (t or "").encode()
-        if some and size + len(b) > BLOCK:
+        if some and size + len(b) > limit:
             yield first, some
             some, size, first = [], 0, i
         some.append(b)
