@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
@@ -325,27 +324,17 @@ def m38_m39_kmeans_elbow(spark, sf_dir):
     return spark.createDataFrame(rows, "k int, inertia double, sum_norm double")
 
 
-def _bow_vectors(spark, sf_dir):
-    from quarry.plans.q_text import _bow_parts
-    tf, _, n_docs = _bow_parts(spark, sf_dir)
-    # the same vocabulary bounds as the relational bag of words, built in the JVM
-    words = tf.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int")))).alias("words"))
-    docs = words.select("doc_id", "words", n_docs.alias("n")).checkpoint()
-    half = float(docs.select(F.max("n")).first()[0] or 0) * 0.5
-    model = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0, maxDF=max(2.0, half), vocabSize=1 << 24).fit(docs)
-    return model.transform(docs).select("doc_id", "features"), model.vocabulary
-
-
 @register("m40_t5_lda_topics")
 def m40_t5_lda_topics(spark, sf_dir):
-    """LDA with 20 topics and 10 iterations over the bag of words; ten top terms per topic."""
-    vec, terms = _bow_vectors(spark, sf_dir)
-    model = topics.lda(vec, k=20, max_iter=10)
-    d = model.describeTopics(10).select("topic", F.arrays_zip("termIndices", "termWeights").alias("z"))
-    d = d.select("topic", F.explode("z").alias("z")).select("topic", F.col("z.termIndices").alias("index"),
-                                                            F.col("z.termWeights").alias("weight"))
-    shown = d.collect()  # ten terms of each topic
-    return spark.createDataFrame([(r.topic, terms[r["index"]], r.weight) for r in shown], "topic int, term string, weight double")
+    """LDA with 20 topics and 10 iterations over the bag of words, whole vocabulary; ten top
+    terms per topic."""
+    from quarry.plans.q_text import _bow_parts
+    tf, vocab, _ = _bow_parts(spark, sf_dir)
+    lam, _ = topics.lda(encode.bag_of_words(tf, vocab), k=20, max_iter=10)
+    mine = lam.select("index", F.posexplode("lam").alias("topic", "lam"))
+    whole = mine.groupBy("topic").agg(F.sum("lam").alias("whole"))
+    share = mine.join(whole, "topic").join(vocab.select("index", "term"), "index")
+    return topics.top_terms(share.select("topic", "term", (F.col("lam") / F.col("whole")).alias("weight")), 10)
 
 
 NMF_UPDATES = 15  # the reference allows 200; an update here is two distributed joins (see README)
