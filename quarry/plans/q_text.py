@@ -8,6 +8,8 @@ from quarry.functions import text as tx
 from quarry.functions import vector as vx
 from quarry.functions.stopwords import ENGLISH
 from quarry.operators import encode as en
+from quarry.operators import sparse_kmeans
+from quarry.operators.topics import top_terms
 from quarry.plans.catalog import register, rounded, sql_rounded
 from quarry.sources import fixtures as fx
 from quarry.sources.tables import table
@@ -233,11 +235,51 @@ def x13_bag_of_words(spark, sf_dir):
     return en.bag_of_words(tf, vocab).select("doc_id", "term", "index", "tf")
 
 
-@register("x14_tfidf", sql_rounded(fx.with_sql([], """
+_TFIDF_SQL = """
 SELECT doc_id, term, index, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM (
   SELECT doc_id, term, index, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w
-  FROM tf JOIN vi USING (term))""", _BOW_CTES), {"weight": 6}))
+  FROM tf JOIN vi USING (term))"""
+
+
+@register("x14_tfidf", sql_rounded(fx.with_sql([], _TFIDF_SQL, _BOW_CTES), {"weight": 6}))
 def x14_tfidf(spark, sf_dir):
     tf, vocab, n = _bow_parts(spark, sf_dir)
     return rounded(en.tfidf(tf, vocab, n), {"weight": 6})
 
+
+def _tfidf(spark, sf_dir):
+    """(weights, vocabulary): TF-IDF rows of all documents over the whole vocabulary."""
+    tf, vocab, n = _bow_parts(spark, sf_dir)
+    vocab = vocab.checkpoint()
+    return en.tfidf(tf, vocab, n).select("doc_id", "index", "weight").checkpoint(), vocab
+
+
+@register("m39_scores_given_labels", sql_rounded(fx.with_sql([], f"""
+SELECT lang AS cluster, count(*) AS n_docs, coalesce(greatest(any_value(q) - any_value(s2) / count(*), 0.0), 0.0) AS ss
+FROM documents LEFT JOIN (
+  SELECT lang, sum(s * s) AS s2, sum(q) AS q FROM (
+    SELECT lang, index, sum(weight) AS s, sum(weight * weight) AS q FROM ({_TFIDF_SQL}) JOIN documents USING (doc_id) GROUP BY lang, index)
+  GROUP BY lang) USING (lang)
+GROUP BY lang""", _BOW_CTES), {"ss": 6}))
+def m39_scores_given_labels(spark, sf_dir):
+    """Squared distances to the mean TF-IDF vector of each language, the clusters given."""
+    labels = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("cluster"))
+    return rounded(sparse_kmeans.scores_of(_tfidf(spark, sf_dir)[0], labels), {"ss": 6})
+
+
+@register("m38_m39_tfidf_elbow")
+def m38_m39_tfidf_elbow(spark, sf_dir):
+    """k-means of TF-IDF documents, k = 1..20 with two starts each, trained side by side:
+    inertia and the sum of per-cluster norms."""
+    return sparse_kmeans.fit(_tfidf(spark, sf_dir)[0], range(1, 21), restarts=2).scores
+
+
+@register("m38_t5_tfidf_clusters")
+def m38_t5_tfidf_clusters(spark, sf_dir):
+    """Four clusters of TF-IDF documents: size and the ten heaviest terms of each centre."""
+    weights, vocab = _tfidf(spark, sf_dir)
+    got = sparse_kmeans.fit(weights, [4], restarts=1)
+    sizes = got.labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"))
+    named = got.centres.join(vocab.select("index", "term"), "index").select(F.col("cluster").alias("topic"), "term", "weight")
+    top = top_terms(named, 10)
+    return top.join(sizes, top["topic"] == sizes["cluster"]).drop("topic")
