@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 
 def classes_of(labels: DataFrame, label: str) -> list:
     """The classes, which are as many as the model has columns.  Rows without one don't train."""
@@ -47,11 +49,12 @@ class NBModel:
     per_value: list[float]    # per-class coefficient of sum(x) (multinomial denominator)
     feature: str
     kind: str
+    distinct: bool = False    # rows to score hold each (row, feature) once
 
     def scores(self, features: DataFrame, rows: DataFrame, row: str, value: str) -> DataFrame:
         k = len(self.classes)
         if self.kind == "bernoulli":  # a stored row means x = 1, whatever its count
-            features = features.select(row, self.feature).distinct().withColumn(value, F.lit(1.0))
+            features = _once(features, row, self.feature, self.distinct).withColumn(value, F.lit(1.0))
         j = features.join(self.table, self.feature)
         sums = j.groupBy(row).agg(*[F.sum(F.col(value) * F.col(f"w_{i}")).alias(f"s_{i}") for i in range(k)],
                                   F.sum(value).alias("sx"))
@@ -72,6 +75,12 @@ class NBModel:
         return out.withColumn("pred", F.element_at(cls, best))
 
 
+def _once(features: DataFrame, row: str, feature: str, distinct: bool) -> DataFrame:
+    """Each (row, feature) once; of rows said to be ``distinct`` there is nothing to drop."""
+    pairs = features.select(row, feature)
+    return pairs if distinct else pairs.distinct()
+
+
 def _class_totals(features: DataFrame, labels: DataFrame, row: str, feature: str, value: str,
                   label: str, classes: list) -> DataFrame:
     fl = features.join(labels.select(row, label), row)
@@ -86,7 +95,8 @@ def fit_multinomial(features: DataFrame, labels: DataFrame, alpha: float = 1.0,
     """M5: theta_cj = (N_cj + alpha) / (N_c + alpha * V); prior learned or uniform."""
     classes = classes_of(labels, label)
     k = len(classes)
-    cnt = _class_totals(features, labels, row, feature, value, label, classes)
+    ensure_checkpoint_dir(features.sparkSession)
+    cnt = _class_totals(features, labels, row, feature, value, label, classes).checkpoint()  # for totals and scores
     tot = cnt.agg(*[F.sum(f"n_{i}").alias(f"t_{i}") for i in range(k)], F.count(F.lit(1)).alias("v")).first()
     v = n_features or tot["v"]
     nc = {r[0]: r[1] for r in labels.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
@@ -99,14 +109,15 @@ def fit_multinomial(features: DataFrame, labels: DataFrame, alpha: float = 1.0,
 
 def fit_bernoulli(features: DataFrame, labels: DataFrame, alpha: float = 1.0, fit_prior: bool = True,
                   row: str = "row_id", feature: str = "feature", label: str = "label",
-                  n_features: int | None = None) -> NBModel:
-    """M2-M4: binary features (stored rows mean x = 1);
+                  n_features: int | None = None, distinct: bool = False) -> NBModel:
+    """M2-M4: binary features (stored rows mean x = 1; ``distinct``: none repeats);
     theta_cj = (sum x + alpha) / (n_c + 2 alpha); score = log prior + sum_j log(1 - theta)
     + sum_{x_j = 1} (log theta - log(1 - theta))."""
     classes = classes_of(labels, label)
     k = len(classes)
-    bin_f = features.select(row, feature).distinct().withColumn("__x", F.lit(1.0))
-    cnt = _class_totals(bin_f, labels, row, feature, "__x", label, classes)
+    ensure_checkpoint_dir(features.sparkSession)
+    bin_f = _once(features, row, feature, distinct).withColumn("__x", F.lit(1.0))
+    cnt = _class_totals(bin_f, labels, row, feature, "__x", label, classes).checkpoint()  # for constants and scores
     nc = {r[0]: r[1] for r in labels.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
     n = sum(nc.values())
     th = [(F.col(f"n_{i}") + alpha) / (nc[c] + 2 * alpha) for i, c in enumerate(classes)]
@@ -120,14 +131,14 @@ def fit_bernoulli(features: DataFrame, labels: DataFrame, alpha: float = 1.0, fi
         const.append(agg[f"B_{i}"] + unseen)
     lp = [math.log(nc[c] / n) if fit_prior else -math.log(k) for c in classes]
     m = NBModel(classes, lp, table.select(feature, *[f"w_{i}" for i in range(k)]), const, [0.0] * k,
-                feature, "bernoulli")
+                feature, "bernoulli", distinct)
     return m
 
 
 def bernoulli_likelihood(features: DataFrame, labels: DataFrame, alpha: float = 1.0, row: str = "row_id",
-                         feature: str = "feature", label: str = "label") -> DataFrame:
+                         feature: str = "feature", label: str = "label", distinct: bool = False) -> DataFrame:
     """M2 long form: (label, feature, theta)."""
-    fl = features.select(row, feature).distinct().join(labels.select(row, label), row)
+    fl = _once(features, row, feature, distinct).join(labels.select(row, label), row)
     nc = labels.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     s = fl.groupBy(label, feature).agg(F.count(F.lit(1)).alias("__s"))
     return s.join(nc, label).select(label, feature, ((F.col("__s") + alpha) / (F.col("__n") + 2 * alpha)).alias("theta"))
@@ -187,10 +198,11 @@ def cv_grid_auc(features: DataFrame, labels: DataFrame, folds: DataFrame, alphas
         raise ValueError("cv_grid_auc scores two classes")
     neg, posc = classes if classes[1] == pos else classes[::-1]
     lab = labels.select(row, label).join(folds.select(row, fold), row)
-    fl = features.join(lab, row)
+    ensure_checkpoint_dir(features.sparkSession)
+    fl = features.join(lab, row).checkpoint()  # for the counts and the scores
     ind = {c: (F.col(label) == c) for c in (neg, posc)}
     per_fold = fl.groupBy(fold, feature).agg(*[F.sum(F.when(ind[c], F.col(value)).otherwise(0.0)).alias(f"f{i}")
-                                              for i, c in enumerate((neg, posc))])
+                                              for i, c in enumerate((neg, posc))]).checkpoint()
     allc = per_fold.groupBy(feature).agg(F.sum("f0").alias("a0"), F.sum("f1").alias("a1"))
     v = allc.count()
     tot_f = {r[fold]: (r["t0"], r["t1"]) for r in per_fold.groupBy(fold).agg(

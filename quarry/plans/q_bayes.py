@@ -17,10 +17,14 @@ _BOW_F = "bow AS (SELECT doc_id, term, CAST(tf AS DOUBLE) AS tf FROM tf JOIN vi
 
 
 def _doc_features(spark, sf_dir):
+    """(bag of words of the documents that have a label, each (document, term) once; labels).
+    The vocabulary is that of all documents.  Fit and score both read the rows, so they are
+    written once."""
     tf, vocab, _ = _bow_parts(spark, sf_dir)
-    feats = tf.join(vocab.select("term"), "term").select("doc_id", F.col("term").alias("feature"),
-                                                         F.col("tf").cast("double").alias("value"))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    mine = tf.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    feats = mine.join(vocab.select("term"), "term").select("doc_id", F.col("term").alias("feature"),
+                                                           F.col("tf").cast("double").alias("value")).checkpoint()
     return feats, labels
 
 
@@ -38,7 +42,7 @@ FROM bow b JOIN lab l USING (doc_id) JOIN (SELECT label, count(*) AS n FROM lab
 GROUP BY l.label, b.term, n.n""", _BOW_CTES, _BOW_F, _LAB_SQL), {"theta": 6}))
 def m2_bernoulli_likelihood(spark, sf_dir):
     feats, labels = _doc_features(spark, sf_dir)
-    return rounded(nb.bernoulli_likelihood(feats, labels, 1.0, "doc_id", "feature", "label"), {"theta": 6})
+    return rounded(nb.bernoulli_likelihood(feats, labels, 1.0, "doc_id", "feature", "label", distinct=True), {"theta": 6})
 
 
 _M5_SQL = sql_rounded(fx.with_sql([], """
@@ -85,7 +89,7 @@ SELECT doc_id, exp(s1 - greatest(s0, s1)) / (exp(s0 - greatest(s0, s1)) + exp(s1
 def m3_m4_bernoulli_nb(spark, sf_dir):
     """Bernoulli NB (alpha 1) on term presence: posterior and prediction per document."""
     feats, labels = _doc_features(spark, sf_dir)
-    model = nb.fit_bernoulli(feats, labels, 1.0, True, "doc_id", "feature", "label")
+    model = nb.fit_bernoulli(feats, labels, 1.0, True, "doc_id", "feature", "label", distinct=True)
     pr = model.predict_proba(feats, labels, "doc_id", "value")
     return rounded(pr.select("doc_id", F.col("probs")[1].alias("p1"), "pred"), {"p1": 6})
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from quarry.operators import encode
-from quarry.plans import q_text
+from quarry.operators import bayes, encode
+from quarry.plans import q_bayes, q_text
 
 
 def plan(df) -> str:
@@ -26,3 +26,20 @@ def test_stop_words_are_no_join(spark, corpus, monkeypatch):
     tf, _, _ = q_text._bow_parts(spark, corpus)
     assert "Join" not in plan(seen[0])
     assert {r.term for r in tf.select("term").distinct().collect()} == {"apple", "tree", "pear", "plum", *(f"word{i}" for i in range(4))}
+
+
+def test_bag_of_labelled_documents_is_written_once(spark, corpus):
+    feats, _ = q_bayes._doc_features(spark, corpus)
+    assert "Join" not in plan(feats)
+    got = {(r.doc_id, r.feature) for r in feats.collect()}
+    assert {d for d, _ in got} == {0, 1, 2, 3} and len(got) == feats.count()
+    assert {f for _, f in got} == {"pear", "plum", "word0", "word1"}  # df of all documents: apple and tree are in over half
+
+
+def test_distinct_rows_are_not_sorted_out_again(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b")], "row_id int, feature string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "row_id int, label int")
+    two = [bayes.fit_bernoulli(x, labels, distinct=d).predict_proba(x, labels) for x, d in ((rows, True), (rows.unionAll(rows), False))]
+    assert plan(two[0]).count("Aggregate") < plan(two[1]).count("Aggregate")
+    one, other = ({r.row_id: r.probs for r in t.collect()} for t in two)
+    assert all(one[k] == pytest.approx(other[k]) for k in (1, 2, 3))
