@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 
 from quarry.operators import bayes, encode
-from quarry.plans import q_bayes, q_text
+from quarry.plans import q_bayes, q_models, q_text
+from quarry.sources import fixtures as fx
+from tests.conftest import SF_SMALL
 
 
 def plan(df) -> str:
@@ -43,3 +45,14 @@ def test_distinct_rows_are_not_sorted_out_again(spark):
     assert plan(two[0]).count("Aggregate") < plan(two[1]).count("Aggregate")
     one, other = ({r.row_id: r.probs for r in t.collect()} for t in two)
     assert all(one[k] == pytest.approx(other[k]) for k in (1, 2, 3))
+
+
+def test_clicks_are_joined_once(spark):
+    tr, te = q_models._clicks_split(spark, SF_SMALL, "row_id")
+    assert "Join" not in plan(tr) and "Join" not in plan(te)
+    whole = fx.clicks(spark, SF_SMALL).select("row_id", "label", *q_models.CAT).collect()
+    both = tr.unionByName(te).select("row_id", tr["label"].cast("int"), *q_models.CAT).collect()
+    assert sorted(map(tuple, both)) == sorted(map(tuple, whole))
+    from quarry.operators.split import hashed_split
+    want = hashed_split(fx.clicks(spark, SF_SMALL).select("row_id"), "row_id", 0.3, 42).where("is_test")
+    assert sorted(r.row_id for r in te.collect()) == sorted(r.row_id for r in want.collect())
