@@ -56,3 +56,12 @@ def test_clicks_are_joined_once(spark):
     from quarry.operators.split import hashed_split
     want = hashed_split(fx.clicks(spark, SF_SMALL).select("row_id"), "row_id", 0.3, 42).where("is_test")
     assert sorted(r.row_id for r in te.collect()) == sorted(r.row_id for r in want.collect())
+
+
+def test_small_dictionary_is_broadcast_a_large_one_not(spark):
+    rows = spark.createDataFrame([(i, "ab"[i % 5 == 0]) for i in range(50)] + [(50, None), (51, "z")], "id int, feature string")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "feature string, index int")
+    for most, hint in ((2, True), (1, False)):
+        got = encode.meet_dictionary(rows, vocab, "feature", most)
+        assert ("strategy=broadcast" in plan(got)) == hint
+        assert got.count() == 50 and got.where("index = 1").count() == 10
