@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +20,18 @@ from quarry.sources.files import cached
 GradFn = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, float]]
 
 
-def _matrix(pdf: pd.DataFrame, col: str) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in pdf[col].to_numpy()]) if len(pdf) else np.zeros((0, 0))
+def _matrix(batch: pa.RecordBatch, col: str) -> np.ndarray:
+    """Rows of an array column side by side, without a Python object for each; nulls are NaN."""
+    lists = batch.column(col)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    dim = len(flat) // batch.num_rows
+    if lists.null_count or (np.diff(np.asarray(lists.offsets)) != dim).any():
+        raise ValueError(f"{col}: arrays of one length expected")
+    return flat.reshape(batch.num_rows, dim)
+
+
+def _floats(df: DataFrame, features: str, label: str) -> DataFrame:
+    return df.select(F.col(features).cast("array<double>").alias(features), F.col(label).cast("double").alias(label))
 
 
 def sum_gradient(df: DataFrame, w: np.ndarray, fn: GradFn, features: str = "features",
@@ -34,21 +44,20 @@ def sum_gradient(df: DataFrame, w: np.ndarray, fn: GradFn, features: str = "feat
         wv = np.asarray(wl)
         g = np.zeros(dim)
         loss, n = 0.0, 0
-        for pdf in it:
-            if len(pdf) == 0:
+        for rb in it:
+            if rb.num_rows == 0:
                 continue
-            X = _matrix(pdf, features)
-            y = pdf[label].to_numpy(dtype=np.float64)
+            X = _matrix(rb, features)
+            y = rb.column(label).to_numpy(zero_copy_only=False)
             gi, li = fn(X, y, wv)
             g += gi
             loss += float(li)
             n += len(y)
-        yield pd.DataFrame({"g": [g.tolist()], "loss": [loss], "n": [n]})
+        # one job: loss and count ride along as two extra coordinates of the summed vector
+        yield pa.RecordBatch.from_pydict({"g": pa.array([np.append(g, [loss, n])], pa.list_(pa.float64()))})
 
-    parts = df.select(features, label).mapInPandas(run, "g array<double>, loss double, n long")
-    # one job: loss and count ride along as two extra coordinates of the summed vector
-    packed = parts.select(F.concat("g", F.array(F.col("loss"), F.col("n").cast("double"))).alias("g"))
-    vec = packed.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
+    parts = _floats(df, features, label).mapInArrow(run, "g array<double>")
+    vec = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
     g = np.zeros(dim + 2)
     for r in vec:
         g[r.i] = r.v  # dim + 2 rows: model-sized
@@ -144,19 +153,19 @@ def train_logistic_sgd(df: DataFrame, dim: int, epochs: int = 5, learning_rate:
             wv = np.asarray(wl)
             n = 0
             rng = np.random.default_rng([sd, TaskContext.get().partitionId()])
-            for pdf in it:
-                if len(pdf) == 0:
+            for rb in it:
+                if rb.num_rows == 0:
                     continue
-                X = _matrix(pdf, features)
-                y = pdf[label].to_numpy(dtype=np.float64)
+                X = _matrix(rb, features)
+                y = rb.column(label).to_numpy(zero_copy_only=False)
                 order = rng.permutation(len(y))
                 for i in range(0, len(y), batch):
                     rows = order[i:i + batch]
                     wv = wv + lr * X[rows].T @ (y[rows] - _sigmoid(X[rows] @ wv))
                 n += len(y)
-            yield pd.DataFrame({"w": [[*(wv * n).tolist(), float(n)]]})
+            yield pa.RecordBatch.from_pydict({"w": pa.array([np.append(wv * n, n)], pa.list_(pa.float64()))})
 
-        parts = df.select(features, label).mapInPandas(run, "w array<double>")
+        parts = _floats(df, features, label).mapInArrow(run, "w array<double>")
         vec = parts.select(F.posexplode("w").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
         total = np.zeros(dim + 1)
         for r in vec:

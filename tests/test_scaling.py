@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarry.operators import bayes, encode
+from quarry.operators import bayes, encode, linear
 from quarry.plans import q_bayes, q_models, q_text
 from quarry.sources import fixtures as fx
+from quarry.streaming import online
 from tests.conftest import SF_SMALL
 
 
@@ -65,3 +68,25 @@ def test_small_dictionary_is_broadcast_a_large_one_not(spark):
         got = encode.meet_dictionary(rows, vocab, "feature", most)
         assert ("strategy=broadcast" in plan(got)) == hint
         assert got.count() == 50 and got.where("index = 1").count() == 10
+
+
+def test_matrix_of_a_batch():
+    batch = pa.RecordBatch.from_pydict({"x": pa.array([[9.0, 9.0], [1.0, 2.0], [3.0, None]])}).slice(1)
+    got = linear._matrix(batch, "x")
+    assert got.shape == (2, 2) and got[0].tolist() == [1.0, 2.0] and np.isnan(got[1, 1])
+    with pytest.raises(ValueError):
+        linear._matrix(pa.RecordBatch.from_pydict({"x": pa.array([[1.0], [1.0, 2.0, 3.0]])}), "x")
+
+
+def test_stream_reads_its_state_once(spark, tmp_path, monkeypatch):
+    for i in range(4):
+        spark.createDataFrame([([1.0, float(j % 3)], float(j % 2)) for j in range(20)], "features array<double>, label double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    calls, read = [], online.latest_weights
+    monkeypatch.setattr(online, "latest_weights", lambda *a: calls.append(1) or read(*a))
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    w = online.run_online(spark, f"{tmp_path}/in", schema, lambda d: d, 2, f"{tmp_path}/state", f"{tmp_path}/ck")
+    states = {r.batch_id: r.w for r in spark.read.parquet(f"{tmp_path}/state").collect()}
+    assert sorted(states) == [0, 1, 2, 3] and states[3] == w.tolist()
+    assert len(calls) <= 2  # at the start, and for the result
+    again = online.run_online(spark, f"{tmp_path}/in", schema, lambda d: d, 2, f"{tmp_path}/state", f"{tmp_path}/ck2")  # replayed
+    assert again.tolist() == w.tolist() and spark.read.parquet(f"{tmp_path}/state").count() == 4
