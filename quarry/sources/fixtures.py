@@ -68,14 +68,18 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.unionByName(tied).select("user_id", "movie_id", F.ceil(F.col("q") / 10).cast("int").alias("rating"))
 
 
+DATES = 1_000_000  # rows of the per-date table that are broadcast, at most: some 2,700 years
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV series from lineitem: open/close = first/last price in row-key order.
 
     Kept on hash aggregation (a struct-ordered ``min_by`` over all rows would force a
     sort-based aggregate): pass 1 aggregates high/low/volume and the first/last
     ``l_orderkey`` per date; pass 2 keeps only the lines of those two orders and breaks
-    the tie on the rest of the row key there.  The per-date table is joined by key and
-    AQE broadcasts it once its measured size allows.
+    the tie on the rest of the row key there.  The per-date table is counted and broadcast
+    up to DATES rows, so that no line is shuffled: Spark takes a checkpoint for as large as
+    what it was made of, and AQE measures it only after the lines have been shuffled.
     """
     li = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
     main = li.groupBy("date").agg(
@@ -85,7 +89,8 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     main = main.checkpoint(eager=True)  # one row per date; reused by both passes, never recomputed
     key = F.struct(*ROW_KEY)
     ok = F.col("l_orderkey")
-    ends = (li.join(main.select("date", "__kf", "__kl"), "date")
+    days = main.select("date", "__kf", "__kl")
+    ends = (li.join(F.broadcast(days) if main.count() <= DATES else days, "date")
             .where((ok == F.col("__kf")) | (ok == F.col("__kl"))))
     oc = ends.groupBy("date").agg(  # min_by / max_by skip null orderings
         F.min_by("l_extendedprice", F.when(ok == F.col("__kf"), key)).alias("open"),

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from quarry.operators import bayes, encode, linear
 from quarry.plans import q_bayes, q_models, q_text
 from quarry.sources import fixtures as fx
@@ -90,3 +92,15 @@ def test_stream_reads_its_state_once(spark, tmp_path, monkeypatch):
     assert len(calls) <= 2  # at the start, and for the result
     again = online.run_online(spark, f"{tmp_path}/in", schema, lambda d: d, 2, f"{tmp_path}/state", f"{tmp_path}/ck2")  # replayed
     assert again.tolist() == w.tolist() and spark.read.parquet(f"{tmp_path}/state").count() == 4
+
+
+def test_prices_shuffle_no_line(spark, tmp_path, monkeypatch):
+    """The table of days goes to the lines, whatever size Spark takes it for; over DATES it doesn't."""
+    rows = [(d * 10 + i, 7, 1, 1, 2.0, float(100 * d + i), day) for d, day in enumerate(("1995-01-01 00:00:00", "1995-01-02 00:00:00", None)) for i in range(3)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, day string")
+    lines.withColumn("l_shipdate", F.col("day").cast("timestamp_ntz")).drop("day").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for most, hint in ((2, False), (3, True)):  # two dates and the missing one
+        monkeypatch.setattr(fx, "DATES", most)
+        got = fx.prices(spark, str(tmp_path))
+        assert ("strategy=broadcast" in plan(got)) == hint
+        assert [tuple(r)[1:] for r in got.orderBy("date").collect()] == [(0.0, 2.0, 2.0, 0.0, 6.0), (100.0, 102.0, 102.0, 100.0, 6.0)]
