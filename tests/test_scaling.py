@@ -104,3 +104,16 @@ def test_prices_shuffle_no_line(spark, tmp_path, monkeypatch):
         got = fx.prices(spark, str(tmp_path))
         assert ("strategy=broadcast" in plan(got)) == hint
         assert [tuple(r)[1:] for r in got.orderBy("date").collect()] == [(0.0, 2.0, 2.0, 0.0, 6.0), (100.0, 102.0, 102.0, 100.0, 6.0)]
+
+
+def test_words_with_another_lemma_go_to_the_tokens(spark, tmp_path, monkeypatch):
+    """Tokens are not shuffled for their lemmas; with too many lemmas they are, to the same end."""
+    docs = [(1, "Cats cat dogs red dogs", "en", "s", 1), (2, "dog red", "en", "s", 1), (3, None, "en", "s", 1), (1, "zz", "en", "s", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "red", "b", "t", 1, 1.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    for most, hint in ((500_000, True), (1, False)):
+        monkeypatch.setattr(q_text, "_LEMMAS", most)
+        got = q_text.f5_j3_clean_documents(spark, str(tmp_path))
+        assert ("strategy=broadcast" in plan(got)) == hint
+        found = {r.doc_id: sorted(r.clean_text.split()) for r in got.collect()}
+        assert found == {1: ["cat", "cat", "dog", "dog", "zz"], 2: ["dog"]}
