@@ -6,9 +6,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from quarry.operators import bayes, encode, linear
+from quarry.operators import bayes, encode, linear, svm
 from quarry.plans import q_bayes, q_models, q_text
 from quarry.sources import fixtures as fx
 from quarry.streaming import online
@@ -117,3 +118,22 @@ def test_words_with_another_lemma_go_to_the_tokens(spark, tmp_path, monkeypatch)
         assert ("strategy=broadcast" in plan(got)) == hint
         found = {r.doc_id: sorted(r.clean_text.split()) for r in got.collect()}
         assert found == {1: ["cat", "cat", "dog", "dog", "zz"], 2: ["dog"]}
+
+
+def test_a_pass_of_the_linear_svm_has_few_tasks(spark):
+    """Every task of every evaluation reports to the driver: their number is that of the cores, not of the input's files."""
+    df = spark.range(120, numPartitions=40).selectExpr("cast(id % 3 as double) label", "array(cast(id % 3 = 1 as double), cast(id % 3 = 2 as double), id / 120) x", "1.0D weight")
+    df = df.select("label", array_to_vector("x").alias("features"), "weight")
+    group, sc = "few-tasks-svm", spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        binary = svm.linear_svc(1.0, 120, 5).fit(df.where("label < 2"))
+        many = linear.one_vs_rest(svm.linear_svc(1.0, 120, 5, weight_col="weight"), "weight").fit(df)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(i) for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds]
+    wide = [s for s in stages if s is not None and "treeAggregate" in s.name]
+    assert len(wide) > 20 and max(s.numTasks for s in wide) <= sc.defaultParallelism
+    assert binary.transform(df.where("label < 2")).where("label = prediction").count() == 80
+    assert many.transform(df).where("label = prediction").count() == 120
