@@ -24,32 +24,45 @@ from quarry.llm.bpe import Memo, PieceModel
 WORDS = 200_000  # entries of each of a worker's two generations
 
 
+SAFE = "A-Za-zÀ-ÖØ-öø-ÿ"  # letters of one case rule that no neighbour composes with
+
+
 class WordCodec:
-    """Encodes texts whose white space is dropped: a blank or line feed always separates,
-    so every stretch between them is encoded once and kept.  A stretch of Latin letters,
-    with or without marks after it, is one or two pre-tokens and goes straight to the
-    library's model; any other takes the library's whole way."""
+    """Encodes texts whose white space is dropped.  A text of ASCII and Latin letters is
+    lower-cased and split into pre-tokens in one go; each is encoded once by the library's
+    model and kept.  In other texts a blank or line feed always separates, so every stretch
+    between them is encoded once and kept: one with other characters, or with a special
+    token in it, takes the library's whole way."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.find = re.compile("[^ \n]+").findall
-        self.plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
-        self.pieces = Memo(PieceModel(self.tok).ids, WORDS)
+        self.safe = re.compile(f"[\t\n\r -~{SAFE}]*").fullmatch
+        self.split = re.compile(f"[{SAFE}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\\s0-9{SAFE}]+").findall
+        self.pieces = Memo(PieceModel(self.tok).ids, 2 * WORDS)
         self.known = Memo(self.word, WORDS)
 
+    def simple(self, text: str) -> bool:
+        return self.safe(text) is not None and not any(s in text for s in self.special)
+
     def word(self, word: str) -> bytes:
-        if m := self.plain(word):
-            letters, marks = m.groups()
-            return self.pieces[letters.lower()] + self.pieces[marks] if marks else self.pieces[letters.lower()]
+        if self.simple(word):
+            return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
         return np.asarray(self.tok.encode(word, add_special_tokens=False).ids, np.int32).tobytes()
 
+    def parts(self, text: str) -> Iterator[bytes]:
+        if self.simple(text):
+            return map(self.pieces.__getitem__, self.split(text.lower()))
+        return map(self.known.__getitem__, self.find(text))
+
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Values and offsets of the ids of all texts, each closed by ``end_id``."""
-        end, known, find = np.int32(end_id).tobytes(), self.known, self.find
-        coded = [b"".join([*map(known.__getitem__, find(t or "")), end]) for t in texts]
+        end = np.int32(end_id).tobytes()
+        coded = [b"".join([*self.parts(t or ""), end]) for t in texts]
         offsets = np.cumsum([0, *map(len, coded)]) // 4
         return np.frombuffer(b"".join(coded), np.int32), offsets.astype(np.int32)
 

@@ -1,5 +1,6 @@
 """Token operators against the tokenizers library and an exact round trip."""
 
+import itertools
 import random
 import zlib
 
@@ -51,6 +52,21 @@ def test_word_codec_equals_the_library():
         assert values.tolist() == [*lib.encode(text, add_special_tokens=False).ids, 1], repr(text)
 
 
+def test_word_codec_keeps_pre_tokens_of_latin_texts():
+    """Words that differ in case and marks alone cost one encoding; the library's whole way is left to other texts."""
+    rnd, lib, own = random.Random(4), Tokenizer.from_file(WORD), token_orc.WordCodec(WORD)
+    pieces = ["a", "É", "ß", "'", "s", "'LL", "'re", "1", "22", "!", "$%", "_", " ", "\n", "\t", "\r", "Word", "<|", "|>"]
+    texts = ["".join(rnd.choices(pieces, k=rnd.randint(0, 20))) for _ in range(2000)]
+    values, offsets = own.encode(texts, 1)
+    assert [values[a:b].tolist() for a, b in itertools.pairwise(offsets)] == [[*lib.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert not own.known
+    before = len(own.pieces)
+    own.encode(["Zebu, zebu. (ZEBU) zebu's zebu;zebu"], 1)
+    assert len(own.pieces) - before <= 7 and not own.known  # zebu and six marks
+    own.encode(["word<|endoftext|> other 中"], 1)
+    assert set(own.known) == {"word<|endoftext|>", "other", "中"}
+
+
 def test_encode_and_decode_rows(spark):
     docs = data.docs(spark)
     lib = Tokenizer.from_file(BYTE)
