@@ -9,7 +9,7 @@ is 0.8 or more the later one (by document id, then line) is removed.  The join:
   lines meet only under these;
 * length filter, positional filter (what can still be shared behind the first common word)
   and a parity filter (bits that an odd number of words hash to differ in no more places
-  than the sets do) discard pairs as they meet;
+  than the sets do; long lines have more bits, or any two would pass) discard pairs as they meet;
 * survivors are verified on the whole sets.
 
 Equal sets are one row per task, however many lines hold them, and one more whenever the
@@ -43,7 +43,8 @@ BLOCK = 1 << 18     # bytes of text worked on at a time; arrays take some 60 tim
 PAIRS = 500_000     # candidates held at a time
 HOT = 200_000       # occurrences of a word per block of its group
 WITNESSES = 16      # candidates per line and word in the first round
-BEST = 2            # of them that are verified first
+BEST = 1            # of them that are verified first
+WIDE = 80           # words from which a line has 128 parity bits; 256 from twice, 512 from four times as many
 ONE = np.uint64(1)
 WORD = np.uint64((1 << 34) - 1)  # bits of a word's hash that order and key it; sets are verified on 51
 
@@ -69,8 +70,17 @@ class Lines:
         mixed = (np.add.reduceat(self.words * np.uint64(0xD6E8FEB86659FD93), self.start) ^ self.size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed ^ (mixed >> np.uint64(29))).view(np.int64)
 
-    def parity(self) -> np.ndarray:
-        return np.bitwise_xor.reduceat(ONE << (self.words >> np.uint64(45)), self.start)
+    def parity(self) -> pa.Array:
+        """Each line's parity bits: 8, 16, 32 or 64 bytes.  A word's first bits choose one of up
+        to 8 parts, so that the XOR of neighbouring parts is the parity in half as many bits."""
+        width = 1 + (self.size >= WIDE) + 2 * (self.size >= 2 * WIDE) + 4 * (self.size >= 4 * WIDE)
+        first = np.cumsum(width) - width
+        part = np.repeat(first, self.size) + ((self.words >> np.uint64(48)).astype(np.int64) * np.repeat(width, self.size) >> 3)
+        edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))  # words are sorted, so parts are
+        bits = np.zeros(int(width.sum()), np.uint64)
+        bits[part[edge]] = np.bitwise_xor.reduceat(ONE << ((self.words >> np.uint64(42)) & np.uint64(63)), edge)
+        ends = (np.concatenate([[0], np.cumsum(width)]) * 8).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(ends), pa.py_buffer(bits)])
 
 
 def lines_of(texts: Iterator[str | None]) -> Iterator[Lines]:
@@ -150,32 +160,34 @@ def place(ids: np.ndarray, bits: int) -> np.ndarray:
 
 
 def scan(narrow: DataFrame) -> DataFrame:
-    """One row per document (line null), one per line with words (id of its set), and the
-    sketch of word counts, in one pass."""
+    """One row per document (line null; how many lines it has, and how many with words), one
+    per line with words (id of its set), and the sketch of word counts, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         none = pa.nulls
         for b in batches:
-            texts = b.column(3)
+            texts, m = b.column(3), b.num_rows
             n = pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), n, none(b.num_rows, pa.int64()),
-                                              none(b.num_rows, pa.int64()), none(b.num_rows, pa.int32()), none(b.num_rows, pa.binary())], names=NAMES)
+            worded = np.zeros(m, np.int64)
             d, nz, tk = (b.column(i).to_numpy() for i in range(3))
             for x in lines_of(t.as_py() for t in texts):
-                counts += np.bincount(x.words & np.uint64((1 << SKETCH_BITS) - 1), minlength=1 << SKETCH_BITS).astype(np.uint32)
-                m = len(x.size)
-                yield pa.RecordBatch.from_arrays([pa.array(d[x.owner]), pa.array(nz[x.owner]), pa.array(tk[x.owner]), none(m, pa.int64()), pa.array(x.number),
-                                                  pa.array(x.ids()), none(m, pa.int32()), none(m, pa.binary())], names=NAMES)
+                np.add.at(counts, (x.words & np.uint64((1 << SKETCH_BITS) - 1)).view(np.int64), np.uint32(1))
+                np.add.at(worded, x.owner, 1)
+                many = len(x.size)
+                yield pa.RecordBatch.from_arrays([pa.array(d[x.owner]), pa.array(nz[x.owner]), pa.array(tk[x.owner]), none(many, pa.int64()), none(many, pa.int64()),
+                                                  pa.array(x.number), pa.array(x.ids()), none(many, pa.int32()), none(many, pa.binary())], names=NAMES)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), n, pa.array(worded), none(m, pa.int64()), none(m, pa.int64()),
+                                              none(m, pa.int32()), none(m, pa.binary())], names=NAMES)
         rows = pack(counts)
         m = len(rows)
-        yield pa.RecordBatch.from_arrays([none(m, pa.int64()), none(m, pa.int32()), *(none(m, pa.int64()) for _ in range(4)), pa.array([r[0] for r in rows], pa.int32()),
+        yield pa.RecordBatch.from_arrays([none(m, pa.int64()), none(m, pa.int32()), *(none(m, pa.int64()) for _ in range(5)), pa.array([r[0] for r in rows], pa.int32()),
                                           pa.array([r[1] for r in rows], pa.binary())], names=NAMES)
 
-    return narrow.mapInArrow(tidy(run), "d bigint, nz int, tk bigint, n_lines bigint, line bigint, sid bigint, chunk int, data binary")
+    return narrow.mapInArrow(tidy(run), "d bigint, nz int, tk bigint, n_lines bigint, worded bigint, line bigint, sid bigint, chunk int, data binary")
 
 
-NAMES = ["d", "nz", "tk", "n_lines", "line", "sid", "chunk", "data"]
+NAMES = ["d", "nz", "tk", "n_lines", "worded", "line", "sid", "chunk", "data"]
 
 
 def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFrame:
@@ -219,15 +231,44 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                 at = line[rows]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(word[rows] + (cell << 34)), pa.array(n[rows].astype(np.int32)), pa.array(pos[rows].astype(np.int32)), pa.array(ids[at]),
-                     pa.array(x.parity()[at].view(np.int64)), pa.array(od[at]), pa.array(ol[at])], names=PREFIX)
+                     pa.array(od[at]), pa.array(ol[at]), x.parity().take(pa.array(at))], names=[*PREFIX, "parity"])
 
-    return narrow.mapInArrow(tidy(run), "key bigint, n int, pos int, sid bigint, parity bigint, od bigint, ol int")
+    return narrow.mapInArrow(tidy(run), "key bigint, n int, pos int, sid bigint, od bigint, ol int, parity binary")
 
 
-PREFIX = ["key", "n", "pos", "sid", "parity", "od", "ol"]
+PREFIX = ["key", "n", "pos", "sid", "od", "ol"]
 
 
-def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
+class Parity:
+    """Parity bits of many lines, compared in as many bits as both lines have."""
+
+    def __init__(self, bits: pa.Array):
+        _, ends, data = bits.buffers()
+        ends = np.frombuffer(ends, np.int32)[bits.offset:bits.offset + len(bits) + 1].astype(np.int64) // 8
+        self.width, self.first = np.diff(ends), ends[:-1] - ends[0]
+        words = np.frombuffer(data, np.uint64)[ends[0]:ends[-1]]
+        self.sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(words)])
+
+    def part(self, at: np.ndarray, k: int, parts: int) -> np.ndarray:
+        """The k-th of so many parts, neighbours folded into one."""
+        size = self.width[at] // parts
+        first = self.first[at] + k * size
+        return self.sums[first + size] ^ self.sums[first]
+
+    def within(self, i: np.ndarray, j: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs (i, j) those that differ in at most so many bits, and in how many."""
+        apart, live = np.zeros(len(i), np.int64), np.arange(len(i))
+        ok = np.ones(len(i), bool)
+        for parts in (1, 2, 4, 8):
+            live = live[ok[live] & (np.minimum(self.width[i[live]], self.width[j[live]]) >= parts)]
+            if not len(live):
+                break
+            apart[live] = sum(np.bitwise_count(self.part(i[live], k, parts) ^ self.part(j[live], k, parts)).astype(np.int64) for k in range(parts))
+            ok[live] = apart[live] <= most[live]
+        return np.flatnonzero(ok), apart[ok]
+
+
+def meet(rows: dict[str, np.ndarray], parity: Parity, share: Fraction, limit: int | None,
          only: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Candidates (later sid, earlier sid, parity difference, cut) among rows sorted by key
     and n, in pieces of about PAIRS; with ``only`` (a filter over sids) those of these later
@@ -244,9 +285,8 @@ def meet(rows: dict[str, np.ndarray], share: Fraction, limit: int | None,
         need = -(-num * both // (num + den))  # least overlap of a match
         ok = (den * n[i] >= num * n[j]) & (np.minimum(rest[i], rest[j]) >= need) & (rows["sid"][i] != rows["sid"][j])
         i, j, both, need = i[ok], j[ok], both[ok], need[ok]
-        apart = np.bitwise_count(rows["parity"][i].view(np.uint64) ^ rows["parity"][j].view(np.uint64)).astype(np.int64)
-        ok = apart <= both - 2 * need
-        i, j, apart = i[ok], j[ok], apart[ok]
+        near, apart = parity.within(i, j, both - 2 * need)
+        i, j = i[near], j[near]
         late, tie = np.zeros(len(i), bool), np.ones(len(i), bool)
         for c in ("od", "ol", "sid"):
             late |= tie & (rows[c][i] > rows[c][j])
@@ -296,28 +336,30 @@ def candidates(rows: DataFrame, share: Fraction, limit: int | None, only=None) -
     the word instead of the earlier set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
-        size, last = 0, None
+        bits: list[pa.Array] = []
+        size = 0
         for b in itertools.chain(batches, [None]):
             if b is not None and b.num_rows:
                 held.append({c: b.column(i).to_numpy() for i, c in enumerate(PREFIX)})
+                bits.append(b.column(len(PREFIX)))
                 size += b.num_rows
             if not size or (b is not None and (size < 50_000 or held[-1]["key"][-1] == held[0]["key"][0])):
                 continue
-            rows = {c: np.concatenate([h[c] for h in held]) for c in PREFIX}
+            rows, parity = {c: np.concatenate([h[c] for h in held]) for c in PREFIX}, pa.concat_arrays(bits)
             end = size if b is None else int(np.searchsorted(rows["key"], rows["key"][-1]))  # the last group may go on
             group = {c: v[:end] for c, v in rows.items()}
             keep = np.lexsort((group["ol"], group["od"], group["sid"], group["n"], group["key"]))  # equal sets: the first line
             group = {c: v[keep] for c, v in group.items()}
             one = np.concatenate([[True], (np.diff(group["key"]) != 0) | (np.diff(group["sid"]) != 0)])
             group = {c: v[one] for c, v in group.items()}
-            for late, early, apart, cut in meet(group, share, limit, None if only is None else only.value):
+            for late, early, apart, cut in meet(group, Parity(parity.take(pa.array(keep[one]))), share, limit, None if only is None else only.value):
                 none = pa.nulls(len(cut), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([late, group["sid"][cut]])), pa.concat_arrays([pa.array(early), none]), pa.concat_arrays([pa.array(apart), none]),
                      pa.concat_arrays([pa.nulls(len(early), pa.int64()), pa.array(group["key"][cut] & ((1 << 34) - 1))])], names=["late", "early", "apart", "word"])
-            held, size = [{c: v[end:] for c, v in rows.items()}], size - end
+            held, bits, size = [{c: v[end:] for c, v in rows.items()}], [parity.slice(end)], size - end
 
-    met = rows.repartition("key").sortWithinPartitions("key", "n")
+    met = rows.repartition("key").sortWithinPartitions("key")  # by one long: a radix sort
     return met.mapInArrow(tidy(run), "late bigint, early bigint, apart bigint, word bigint").distinct()
 
 
@@ -393,12 +435,11 @@ def dedup(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: s
     first = lines.groupBy("sid").agg(F.min(F.struct("d", "nz", "line", "tk")).alias("f"))
     stay = first.join(later.withColumnRenamed("late", "sid"), "sid", "left_anti").select("f.d", "f.nz", "f.tk", "f.line")
     kept = stay.groupBy("d", "nz", "tk").agg(F.array_sort(F.collect_list("line")).alias("kept"))
-    worded = lines.groupBy("d", "nz", "tk").agg(F.countDistinct("line").alias("worded"))
-    rows = seen.where("n_lines IS NOT NULL").select("d", "nz", "tk", "n_lines")
-    out = rows.join(worded, ["d", "nz", "tk"], "left").join(kept, ["d", "nz", "tk"], "left")
+    rows = seen.where("n_lines IS NOT NULL").select("d", "nz", "tk", "n_lines", "worded")
+    out = rows.join(kept, ["d", "nz", "tk"], "left")
     kept_lines = F.coalesce("kept", F.array().cast("array<bigint>"))
     return out.select(F.when(F.col("nz") == 1, F.col("d")).cast(kind).alias(doc), F.col("tk").alias("text_key"), "n_lines",
-                      (F.coalesce("worded", F.lit(0)) - F.size(kept_lines)).alias("n_removed"), kept_lines.alias("kept"))
+                      (F.col("worded") - F.size(kept_lines)).alias("n_removed"), kept_lines.alias("kept"))
 
 
 def remove(docs: DataFrame, similarity: str = "0.8", doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -172,6 +173,40 @@ def test_line_dedup_orders_all_integers(spark):
         line_dedup.dedup(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
 
 
+def long_lines(rnd, sizes, shared=6):
+    """Lines of so many words, no two of them alike but for a few rare words that lines share."""
+    return [" ".join({f"r{rnd.randrange(2 * len(sizes))}" for _ in range(shared)} | {f"c{rnd.randrange(3_000)}" for _ in range(n - shared)}) for n in sizes]
+
+
+def test_long_lines_that_share_words_are_no_candidates(spark):
+    """64 parity bits of two lines of 200 words differ in some 32 places, whatever the words."""
+    rnd = random.Random(5)
+    lines = long_lines(rnd, [rnd.randint(170, 900) for _ in range(120)])
+    docs = spark.createDataFrame([(i, 1, i, x) for i, x in enumerate(lines)], "d bigint, nz int, tk bigint, t string")
+    share = Fraction("0.8")
+    counts = spark.sparkContext.broadcast(line_dedup.total(line_dedup.scan(docs), line_dedup.SKETCH_BITS))
+    assert line_dedup.candidates(line_dedup.prefixes(docs, counts, share), share, None).count() == 0
+
+
+def test_line_dedup_of_long_lines(spark):
+    """Near copies about the sizes from which lines have more parity bits, just similar enough or not."""
+    rnd = random.Random(6)
+    lines = long_lines(rnd, [n for size in (80, 160, 320) for n in range(size - 3, size + 4)] + [1000])
+    for x in lines[:]:
+        w = x.split()
+        for cut, put in ((len(w) // 9, len(w) // 9), (len(w) // 5, 0), (0, len(w) // 4), (len(w) // 9 + 1, len(w) // 9 + 1), (len(w) // 5 + 1, 0), (0, len(w) // 4 + 2)):
+            if rnd.random() < 0.6:
+                lines.append(" ".join(rnd.sample(w, len(w) - cut) + [f"n{rnd.randrange(10**9)}" for _ in range(put)]))
+    rnd.shuffle(lines)
+    rows = [(i, "\n".join(lines[i::20])) for i in range(20)]
+    gone = later_lines(rows)
+    got = line_dedup.dedup(spark.createDataFrame([*rows, rows[3]], "doc_id bigint, text string").repartition(3)).collect()
+    assert len(got) == 21 and len(gone) > 20
+    for r in got:
+        want = [no for no in range(len(lines[r.doc_id::20])) if (r.doc_id, rows[r.doc_id][1], no) not in gone]
+        assert r.kept == want and r.n_removed == r.n_lines - len(want)
+
+
 def test_line_removal_keeps_rows_and_columns(spark):
     docs = data.docs(spark)
     out = line_dedup.remove(docs)
