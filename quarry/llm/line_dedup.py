@@ -65,6 +65,13 @@ class Lines:
         text = np.searchsorted(w.first_line, at, side="right") - 1
         self.owner, self.number = text + first, at - w.first_line[text]
 
+    def only(self, which: np.ndarray) -> Lines:
+        """The lines marked in ``which``."""
+        out = Lines.__new__(Lines)
+        out.words, out.size = self.words[np.repeat(which, self.size)], self.size[which]
+        out.start, out.owner, out.number = np.cumsum(out.size) - out.size, self.owner[which], self.number[which]
+        return out
+
     def ids(self) -> np.ndarray:
         """A hash of each set."""
         mixed = (np.add.reduceat(self.words * np.uint64(0xD6E8FEB86659FD93), self.start) ^ self.size.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -209,13 +216,18 @@ def prefixes(narrow: DataFrame, counts, share: Fraction, wanted=None) -> DataFra
                 first = by[np.concatenate([[True], ids[by][1:] != ids[by][:-1]])]
                 fresh = np.zeros(len(ids), bool)
                 fresh[first] = given.fresh(ids[first], od[first], ol[first])
+                if wanted is not None:
+                    fresh &= np.logical_or.reduceat(wanted.value[place((x.words & WORD).view(np.int64), SKETCH_BITS)], x.start)
+                if not fresh.any():
+                    continue
+                x, ids, od, ol = x.only(fresh), ids[fresh], od[fresh], ol[fresh]
                 line = np.repeat(np.arange(len(x.size), dtype=np.uint64), x.size)
                 low = x.words & np.uint64((1 << SKETCH_BITS) - 1)
                 keys = np.sort((line << np.uint64(40)) | (level[low] << np.uint64(34)) | (x.words & WORD))
                 line = (keys >> np.uint64(40)).astype(np.int64)
                 pos = np.arange(len(keys)) - x.start[line]
                 n = x.size[line]
-                take = (pos <= n - -(-num * n // den)) & fresh[line]
+                take = pos <= n - -(-num * n // den)
                 word = (keys & WORD).astype(np.int64)
                 if wanted is not None:
                     take &= wanted.value[place(word, SKETCH_BITS)]
