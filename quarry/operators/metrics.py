@@ -83,9 +83,12 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def score_counts(df: DataFrame, y: str | Column, score: str | Column, pos=1,
-                 group: Sequence[str] = ()) -> DataFrame:
-    """(group..., score, pos, neg): one row per distinct score."""
+                 group: Sequence[str] = (), times: str | None = None) -> DataFrame:
+    """(group..., score, pos, neg): one row per distinct score; a row counts ``times``."""
     yy = _c(y)
+    if times:
+        return df.groupBy(*group, _c(score).alias("score")).agg(
+            *[F.coalesce(F.sum(F.when(hit, F.col(times))), F.lit(0)).cast("long").alias(name) for hit, name in ((yy == pos, "pos"), (yy != pos, "neg"))])
     return df.groupBy(*group, _c(score).alias("score")).agg(
         F.count_if(yy == pos).alias("pos"), F.count_if(yy != pos).alias("neg"))
 
@@ -123,9 +126,9 @@ def roc_fixed(df: DataFrame, y: str, score: str, step: float = 0.05, n: int = 22
     return row.select(pts.alias("p")).select("p.*")
 
 
-def auc(df: DataFrame, y: str | Column, score: str | Column, pos=1, group: Sequence[str] = ()) -> DataFrame:
-    """ROC AUC with tied scores counted one half (Mann-Whitney)."""
-    sc = score_counts(df, y, score, pos, group)
+def auc(df: DataFrame, y: str | Column, score: str | Column, pos=1, group: Sequence[str] = (), times: str | None = None) -> DataFrame:
+    """ROC AUC with tied scores counted one half (Mann-Whitney); a row counts ``times``."""
+    sc = score_counts(df, y, score, pos, group, times)
     cum = running_sums(sc, [F.asc("score")], {"cneg": F.col("neg")}, group)
     below = F.col("cneg") - F.col("neg")
     return cum.groupBy(*group).agg(

@@ -274,11 +274,22 @@ def spark_forest_classifier(n_trees: int = 100, max_depth: int = 10, weight_col:
 
 
 def spark_gbt_classifier(n_iter: int = 20, max_depth: int = 5, step: float = 0.1,
-                         features: str = "features", label: str = "label", seed: int = 42):
+                         features: str = "features", label: str = "label", seed: int = 42, weight_col: str | None = None):
     """Logistic-loss gradient-boosted trees."""
     from pyspark.ml.classification import GBTClassifier
+    kw = {"weightCol": weight_col} if weight_col else {}
     return GBTClassifier(maxIter=n_iter, maxDepth=max_depth, stepSize=step, featuresCol=features,
-                         labelCol=label, seed=seed)
+                         labelCol=label, seed=seed, **kw)
+
+
+def weighted_rows(est, n: float):
+    """``est`` (a tree without resampling) for rows that stand for as many as they weigh, ``n``
+    in all: the least rows of a node become a least weight."""
+    least = est.getMinInstancesPerNode()
+    if least > 1:
+        # halfway to one row less, so that rounding refuses no node; below 2 * least rows none can be split
+        est = est.setMinInstancesPerNode(1).setMinWeightFractionPerNode((least - 0.5) / n) if n >= 2 * least else est.setMaxDepth(0)
+    return est
 
 
 def spark_tree_regressor(max_depth: int = 10, features: str = "features", label: str = "label"):

@@ -50,3 +50,21 @@ def test_fourier_features_approach_the_rbf_kernel():
     made = kernel.fourier(2, 2000, 1.0, 0)
     a, b = made(np.array([[0.0, 0.0], [0.5, 0.5]]))[:, :-1]
     assert a @ b == pytest.approx(np.exp(-0.5), abs=0.06)
+
+
+def test_weighted_rows_give_the_tree_and_the_auc_of_all_rows(spark):
+    """Rows alike in all columns as one row with their number: least rows of a node, and scores."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from quarry.operators import metrics, tree
+    rows = [(float((i * 7) % 5 < 2), [float(i % 2), float(i % 3 == 0), float(i % 11 < 3)]) for i in range(400)] + [(1.0, [1.0, 1.0, 1.0])] * 30
+    df = spark.createDataFrame(rows, "label double, x array<double>")
+    few = df.groupBy("label", "x").agg(F.count(F.lit(1)).cast("double").alias("times"))
+    assert few.count() < 20
+    vec = lambda d: d.withColumn("features", array_to_vector("x"))
+    for least in (1, 45, 216):
+        one = tree.spark_tree_classifier(4, least).fit(vec(df))
+        two = tree.weighted_rows(tree.spark_tree_classifier(4, least, "times"), 430.0).fit(vec(few))
+        assert one.toDebugString.split("\n")[1:] == two.toDebugString.split("\n")[1:]
+        p = [m.transform(vec(d)).withColumn("p1", vector_to_array("probability")[1]) for m, d in ((one, df), (two, few))]
+        a, b = metrics.auc(p[0], "label", "p1").first().auc, metrics.auc(p[1], "label", "p1", times="times").first().auc
+        assert a == pytest.approx(b, abs=1e-12)
